@@ -8,8 +8,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# Java's \s is ASCII-only; report cells also carry no-break spaces.
-BLANK = r"[\s ]"
+# Report cells carry no-break spaces besides ASCII blanks.
+BLANKS = " \t\n\r\f\v\u00a0"
+WORD_BREAK = "\u0001 "
 
 
 def norm_code(c: Column) -> Column:
@@ -18,15 +19,17 @@ def norm_code(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def strip_suffixes(c: Column, suffixes: Iterable[str]) -> Column:
     """Remove each suffix once, in the given order, trimming after each."""
-    out = strip(c)
-    for suffix in suffixes:
-        out = F.regexp_replace(out, rf"{BLANK}*{re.escape(suffix)}\z", "")
-    return out
+
+    def cut(name: Column, suffix: Column) -> Column:
+        kept = F.left(name, F.length(name) - F.length(suffix))
+        return F.when(F.endswith(name, suffix), strip(kept)).otherwise(name)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in suffixes]), strip(c), cut)
 
 
 def drop_name_tags(c: Column, tail_pattern: str, anywhere: str) -> Column:
@@ -34,19 +37,21 @@ def drop_name_tags(c: Column, tail_pattern: str, anywhere: str) -> Column:
     return F.replace(F.regexp_replace(c, tail_pattern, ""), F.lit(anywhere), F.lit(""))
 
 
-def _cased_runs(c: Column, word: str) -> Column:
-    runs = F.regexp_extract_all(c, F.lit(rf"([{word}]+|[^{word}]+)"), 1)
-    return F.array_join(F.transform(runs, F.initcap), "")
+def _title(c: Column, word: str) -> Column:
+    # initcap starts words after a space only, so a marked space goes before every letter
+    # that follows another kind of break.
+    marked = F.regexp_replace(c, rf"([^{word} ])(?=[{word}])", f"$1{WORD_BREAK}")
+    return F.replace(F.initcap(marked), F.lit(WORD_BREAK), F.lit(""))
 
 
 def title_letters(c: Column) -> Column:
     """Title case where any non-letter ends a word (``o'neil`` -> ``O'Neil``)."""
-    return _cased_runs(c, r"\p{L}")
+    return _title(c, r"\p{L}")
 
 
 def title_words(c: Column) -> Column:
     """Title case where letters and digits belong to a word (SQL ``initcap``)."""
-    return _cased_runs(c, r"\p{L}\p{N}")
+    return _title(c, r"\p{L}\p{N}")
 
 
 def sentence_case(c: Column) -> Column:

@@ -11,13 +11,9 @@ def unique_lookup(lookup: DataFrame, keys: Sequence[str], take: Sequence[str]) -
     """One row per key: of duplicate keys the smallest ``take`` tuple is kept.
 
     ``min`` combines map-side, so a key that holds most rows is reduced before the
-    shuffle. Rows with a null key can match nothing and are dropped.
+    shuffle. A null key forms a group that matches nothing.
     """
-    picked = (
-        lookup.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*take)).alias("picked"))
-    )
+    picked = lookup.groupBy(*keys).agg(F.min(F.struct(*take)).alias("picked"))
     return picked.select(*keys, *[F.col("picked")[c].alias(c) for c in take])
 
 

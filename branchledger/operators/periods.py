@@ -16,11 +16,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from branchledger.functions.local import config_table
+
 OPEN_END = date(2099, 12, 31)
 FIRST_DAY, LAST_DAY = date(1, 1, 1), date(9999, 12, 31)
-# Rows up to which the flattened calendar is hinted for broadcast; past it the join
-# is left to the optimizer.
-MAX_BROADCAST_ROWS = 200_000
 
 INTERVAL_SCHEMA = "cal_dept string, cal_after date, cal_until date, cal_month date"
 
@@ -58,8 +57,7 @@ def intervals(closings: Sequence[Closing]) -> list[tuple[date, date, date]]:
 
 def calendar_table(spark: SparkSession, calendar: Calendar) -> DataFrame:
     rows = [(dept, *row) for dept, closings in calendar.items() for row in intervals(closings)]
-    table = spark.createDataFrame(rows, INTERVAL_SCHEMA)
-    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+    return config_table(spark, rows, INTERVAL_SCHEMA)
 
 
 def assign_period(

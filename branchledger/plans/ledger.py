@@ -133,9 +133,10 @@ def sorted_for_export(ledger: DataFrame) -> DataFrame:
 
 
 def net_by_period(ledger: DataFrame, by: Sequence[str] = ("dept", "period")) -> DataFrame:
-    """Net revenue and quantity per department and accounting period."""
+    """Net revenue, quantity, lines and lines with a known employee."""
     return ledger.groupBy(*by).agg(
         F.sum(F.col("net_revenue").cast("decimal(18,2)")).alias("net_revenue"),
         F.sum("net_qty").alias("net_qty"),
         F.count(F.lit(1)).alias("n_lines"),
+        F.count("employee_code").alias("n_coded"),
     )

@@ -12,6 +12,9 @@ SETTINGS = {
     # A hot lookup key may be split even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles methods over 8000 bytes; wide ledgers generate such methods and
+    # run several times faster as separately generated operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from branchledger.functions.local import config_table
 from branchledger.sources.schemas import Layout
 
 FILE, BLOCK, ROW = "__file", "__block", "__row"
@@ -85,7 +86,7 @@ def drop_last_columns(df: DataFrame, n: int) -> DataFrame:
 
 def office_table(spark: SparkSession, offices: Mapping[str, str]) -> DataFrame:
     """(office, file name) rows of the office configuration."""
-    return spark.createDataFrame(list(offices.items()), "office string, office_file string")
+    return config_table(spark, list(offices.items()), "office string, office_file string")
 
 
 def read_offices(
@@ -101,8 +102,7 @@ def read_offices(
     ``missing_offices``).
     """
     rows = read_report(spark, folder, layout, file_column="__office_file")
-    # Configuration table: one row per office.
-    config = F.broadcast(office_table(spark, offices))
+    config = office_table(spark, offices)
     return (
         rows.join(config, F.col("__office_file") == F.col("office_file"))
         .withColumn(office_column, F.col("office"))

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from branchledger import values as v
 from branchledger.functions.parsing import strict_date
 from branchledger.functions.rules import first_match
+from branchledger.functions.text import norm_code
 from branchledger.operators.checks import control_totals
-from branchledger.operators.lookup import unique_lookup
+from branchledger.operators.lookup import duplicate_keys
 from branchledger.operators.periods import assign_period
 from branchledger.operators.stack import stack
 from branchledger.plans import ledger as L
@@ -31,7 +32,8 @@ def month(sales: DataFrame, staff: DataFrame) -> DataFrame:
 
 
 NET = """SELECT dept, period, CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS net_revenue,
- CAST(sum(net_qty) AS BIGINT) AS net_qty, count(*) AS n_lines FROM {0} GROUP BY dept, period"""
+ CAST(sum(net_qty) AS BIGINT) AS net_qty, count(*) AS n_lines,
+ count(employee_code) AS n_coded FROM {0} GROUP BY dept, period"""
 
 query("ledger_net_by_period", f"{S.head_ledger('sales_lines')} {NET.format('head')}",
       ("sales_lines", "staff"))(lambda s, st: L.net_by_period(head(s, st)))
@@ -180,8 +182,6 @@ UNION SELECT DISTINCT {S.normed('product_code')}, 'FIELD' FROM field_products"""
 
 
 def _codes(df: DataFrame, label: str) -> DataFrame:
-    from branchledger.functions.text import norm_code
-
     return df.select(norm_code(F.col("product_code")).alias("product_code"), F.lit(label).alias("platform"))
 
 
@@ -192,11 +192,5 @@ query("sorted_nulls_last", f"""{S.province_ledger()} SELECT posting_date, vouche
 
 query("lookup_duplicates", f""", {S.STACKED}
 SELECT employee_name, dept, count(*) AS n_rows FROM stacked GROUP BY ALL HAVING count(*) > 1""", ("staff",))(
-    lambda st: _duplicates(st)
+    lambda st: duplicate_keys(staff_stack(st), ["employee_name", "dept"])
 )
-
-
-def _duplicates(staff: DataFrame) -> DataFrame:
-    from branchledger.operators.lookup import duplicate_keys
-
-    return duplicate_keys(staff_stack(staff), ["employee_name", "dept"])
