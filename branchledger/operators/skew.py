@@ -55,13 +55,9 @@ def salted_left_joins(
     )
     out = spread.drop("__hot")
     for right in rights:
-        copies = F.when(
-            F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))
-        ).otherwise(F.array(F.lit(0)))
-        salted = (
-            mark(right)
-            .withColumn(SALT, F.explode(copies).cast("bigint"))
-            .drop("__hot")
-        )
+        zero = F.lit(0).cast("bigint")
+        every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
+        copies = F.when(F.col("__hot").isNotNull(), every).otherwise(F.array(zero))
+        salted = mark(right).withColumn(SALT, F.explode(copies)).drop("__hot")
         out = out.join(salted, [key, SALT], "left")
     return out.drop(SALT)

@@ -282,14 +282,14 @@ FROM {{orders}} WHERE o_orderstatus = 'F'""",
 SELECT 'VD' || (o_orderkey * 6) AS waybill, 'Xe ' || (o_custkey % 12) AS carrier,
     o_orderpriority AS status, o_orderdate AS created_at
 FROM {orders}""",
-    # Month matrix of targets: one row per nation, departments repeat.
+    # Month matrix of targets: one row per employee, departments repeat.
     "target_matrix": f"""
-SELECT (CASE WHEN n_nationkey = 24 THEN 'Chỉ tiêu 2026' ELSE {_case('n_nationkey', ['Phòng Bán Buôn HN', 'Phòng Beauty HN', 'Phòng KD Tỉnh', 'VP Thái Nguyên', 'Khác', None])} END) AS dept,
-    'Nhân viên ' || n_nationkey AS employee_name,
-    CAST(100000 + n_nationkey * 1000 AS STRING) AS m1,
-    CAST(NULL AS STRING) AS m2, CAST(200000 + n_nationkey AS STRING) AS m3,
-    CAST(300000.5 + n_nationkey AS STRING) AS m_total, '7' AS m_other
-FROM {{nation}}""",
+SELECT (CASE WHEN s_suppkey % 25 = 24 THEN 'Chỉ tiêu 2026' ELSE {_case('s_suppkey', ['Phòng Bán Buôn HN', 'Phòng Beauty HN', 'Phòng KD Tỉnh', 'VP Thái Nguyên', 'Khác', None])} END) AS dept,
+    {person('s_suppkey')} AS employee_name,
+    CAST(100000 + s_suppkey * 1000 AS STRING) AS m1,
+    CAST(NULL AS STRING) AS m2, CAST(200000 + s_suppkey AS STRING) AS m3,
+    CAST(300000.5 + s_suppkey AS STRING) AS m_total, '7' AS m_other
+FROM {{supplier}}""",
 }
 # Header text of the matrix columns (not writable as neutral SQL names).
 TARGET_LABELS = {
