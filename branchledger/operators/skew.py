@@ -11,18 +11,14 @@ SALTS = 64
 SALT = "__salt"
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``count / hot_rows`` of them.
+def rows_per_key(df: DataFrame, key: str) -> DataFrame:
+    """(key, n_rows); counts combine map-side, so one key never gathers in one task."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    Counts combine map-side, so one key never gathers in one task.
-    """
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__hot"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .select("__hot")
-    )
+
+def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of ``rows_per_key`` with more than ``hot_rows`` rows: at most total / hot_rows."""
+    return counts.filter(F.col("n_rows") > hot_rows).select(F.col(key).alias("__hot"))
 
 
 def salted_left_joins(

@@ -114,8 +114,8 @@ CUSTOMER_VALUES = [
 ]
 
 
-def unified_customers(feeds: Mapping[str, DataFrame], labels: Mapping[str, str] = v.FEED_LABELS) -> DataFrame:
-    """Own/shared customers and prospects in one schema, exact duplicates removed.
+def stacked_customers(feeds: Mapping[str, DataFrame], labels: Mapping[str, str] = v.FEED_LABELS) -> DataFrame:
+    """Own/shared customers and prospects in one schema.
 
     ``feeds`` maps customers, shared_customers, prospects, shared_prospects to report
     frames. A shared feed has no owner (empty text).
@@ -139,7 +139,12 @@ def unified_customers(feeds: Mapping[str, DataFrame], labels: Mapping[str, str]
             F.lit(kind).alias("opened_kind"),
         )
 
-    return stack([shape(name, df) for name, df in feeds.items()]).distinct()
+    return stack([shape(name, df) for name, df in feeds.items()])
+
+
+def unified_customers(feeds: Mapping[str, DataFrame], labels: Mapping[str, str] = v.FEED_LABELS) -> DataFrame:
+    """``stacked_customers`` without exact duplicates, as a table of its own."""
+    return stacked_customers(feeds, labels).distinct()
 
 
 def customer_dim(
@@ -149,7 +154,11 @@ def customer_dim(
     employees: DataFrame,
     labels: Platforms = Platforms(),
 ) -> DataFrame:
-    """One row per customer code, with the owner's employee code."""
+    """One row per customer code, with the owner's employee code.
+
+    ``unified`` may hold duplicates: the consolidation takes maxima, so
+    ``stacked_customers`` saves the shuffle of ``unified_customers``.
+    """
     acc, fld, fil = labels
     kind = literal_renames(F.col("customer_kind"), v.FILE_KIND_RENAMES)
     merged = consolidate(

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from branchledger import values as v
 from branchledger.functions.rules import first_match
 from branchledger.functions.text import join_or_blank, norm_code
-from branchledger.operators.skew import HOT_ROWS, SALTS, hot_keys, salted_left_joins
+from branchledger.operators.skew import (
+    HOT_ROWS, SALTS, hot_keys, rows_per_key, salted_left_joins,
+)
 
 HISTORY, ORDER = "FILE_INVENTORY", "FILE_ORDER"
 
@@ -75,8 +77,8 @@ def inventory_detail(
 ) -> DataFrame:
     """Every movement and every order without a movement, one row per matching document.
 
-    The distinct list of document codes is not built: movements left-joined to orders,
-    plus the orders whose code has no movement, are the same rows. ``products`` and
+    Rows per document are counted once; the counts give both the orders without movements
+    (added as bare documents) and the hot documents to split. ``products`` and
     ``customers`` are dimensions with unique codes.
     """
     prices = products.select(F.col("product_code").alias("dim_product"), "list_price")
@@ -91,36 +93,28 @@ def inventory_detail(
         "volume",
         "qty",
     ).filter(F.col("doc_code").isNotNull())
+    order_codes = orders.select(norm_code(F.col("order_code")).alias("doc_code"))
+    counts = rows_per_key(moves, "doc_code")
+    bare = order_codes.dropna().distinct().join(counts, "doc_code", "left_anti")
     priced = (
         moves.join(prices, norm_code(F.col("product_code")) == F.col("dim_product"), "left")
         .drop("dim_product")
         .withColumn("in_history", F.lit(True))
     )
-    headers = with_waybills_and_customers(orders, lading, customers).filter(
-        F.col("doc_code").isNotNull()
-    )
-    moved = moves.select("doc_code").distinct()
-    order_only = headers.join(moved, "doc_code", "left_anti")
-
-    with_orders = salted_left_joins(
-        priced,
-        [headers.withColumn("in_orders", F.lit(True)), slips(inbound, "in"), slips(outbound, "out")],
+    joined = salted_left_joins(
+        priced.unionByName(bare, allowMissingColumns=True),
+        [
+            with_waybills_and_customers(orders, lading, customers).withColumn("in_orders", F.lit(True)),
+            slips(inbound, "in"),
+            slips(outbound, "out"),
+        ],
         "doc_code",
         ["product_code", "occurred_at", "partner", "qty"],
-        hot_keys(moves, "doc_code", hot_rows),
-        salts,
-    )
-    without_moves = salted_left_joins(
-        order_only.withColumn("in_orders", F.lit(True)),
-        [slips(inbound, "in"), slips(outbound, "out")],
-        "doc_code",
-        ["sales_order", "order_created_at", "lading_code", "order_amount"],
-        hot_keys(order_only, "doc_code", hot_rows),
+        hot_keys(counts, "doc_code", hot_rows),
         salts,
     )
-    both = with_orders.unionByName(without_moves, allowMissingColumns=True)
     in_history, in_orders = F.col("in_history"), F.col("in_orders")
-    return both.select(
+    return joined.select(
         "doc_code",
         "warehouse",
         "partner",

@@ -29,17 +29,19 @@ def read_report(
     layout: Layout,
     file_column: str | None = None,
     multiline: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Data rows of every report under ``path``.
+    """Data rows of every report under ``path``, or of the file names in ``only``.
 
     ``multiline`` is for exports whose quoted cells hold line breaks; such files are not
     splittable, so each is read by one task. Title and header rows must lie in the first
     split of a file.
     """
+    reader = spark.read.schema(layout.text_schema).option("multiLine", multiline)
+    if only is not None:
+        reader = reader.option("pathGlobFilter", "{" + ",".join(only) + "}")
     raw = (
-        spark.read.schema(layout.text_schema)
-        .option("multiLine", multiline)
-        .option("escape", '"')
+        reader.option("escape", '"')
         .csv(path)
         .select(
             "*",
@@ -98,10 +100,11 @@ def read_offices(
 ) -> DataFrame:
     """All configured office files of a folder in one scan, tagged with their office.
 
-    Files outside the configuration are ignored; a missing file contributes no rows (see
+    Files outside the configuration are not read; a missing file contributes no rows (see
     ``missing_offices``).
     """
-    rows = read_report(spark, folder, layout, file_column="__office_file")
+    files = list(offices.values())
+    rows = read_report(spark, folder, layout, file_column="__office_file", only=files)
     config = office_table(spark, offices)
     return (
         rows.join(config, F.col("__office_file") == F.col("office_file"))
@@ -129,10 +132,11 @@ def read_year(
     base: str,
     year: int,
     layout: Layout,
-    pattern: str = "*Tong_Hop*",
+    pattern: str = "T*_{year}/*Tong_Hop*",
 ) -> DataFrame:
     """Month summaries ``T<month>_<year>/*Tong_Hop*`` of one year, temp files skipped."""
-    df = read_sheet(spark, f"{base}/T*_{year}/{pattern}", layout, file_column="__name")
+    path = f"{base}/{pattern.format(year=year)}"
+    df = read_sheet(spark, path, layout, file_column="__name")
     return df.filter(~F.col("__name").startswith(TEMP_PREFIX)).drop("__name")
 
 

@@ -9,7 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Declared, so that reading a table starts no schema-inference job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
 
 
 def _case(key: str, values: list[str | None]) -> str:
@@ -297,11 +310,17 @@ TARGET_LABELS = {
 }
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An input as a DataFrame."""
+    """An input, or a test table, as a DataFrame."""
+    if name not in INPUTS:
+        return table(spark, sf_dir, name)
     sql = INPUTS[name]
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql}
-    return spark.sql(sql, **tables)
+    used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql, **used)
 
 
 def oracle_ctes(*names: str) -> str:

@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return shown(fn(*[load(spark, sf_dir, u) for u in uses]))
+            return shown(fn(*[inputs.load(spark, sf_dir, u) for u in uses]))
 
         QUERIES[name] = run
         if sql is not None:
@@ -50,8 +50,3 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
 
     return register
 
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in inputs.INPUTS:
-        return inputs.load(spark, sf_dir, name)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
