@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from branchledger.operators.skew import evenly_salted_join
+
 
 def unique_lookup(lookup: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
     """One row per key: of duplicate keys the smallest ``take`` tuple is kept.
@@ -18,24 +20,23 @@ def unique_lookup(lookup: DataFrame, keys: Sequence[str], take: Sequence[str]) -
 
 
 def lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: Mapping[str, str], take: Sequence[str]
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: Mapping[str, str],
+    take: Sequence[str],
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join of ``fact`` to a de-duplicated lookup; ``on`` maps fact -> lookup column.
 
-    No broadcast hint: the optimizer broadcasts the lookup when its size is under the
-    session threshold and otherwise shuffles, where adaptive execution splits the
-    partitions of hot fact keys (the fact is the splittable side of a left join).
+    The optimizer broadcasts the lookup while it is under the session's size threshold.
+    Past it the join is a shuffle; ``spread_by`` names fact columns that cut a hot key into
+    parts, and stays empty for a fact that was already grouped by the key.
     """
     right = unique_lookup(lookup, list(on.values()), take)
-    # Renamed so that a fact column of the same name never collides.
-    right = right.select(
-        *[F.col(r).alias(f"__on_{i}") for i, r in enumerate(on.values())], *take
-    )
-    condition = None
-    for i, left in enumerate(on):
-        test = fact[left] == right[f"__on_{i}"]
-        condition = test if condition is None else condition & test
-    return fact.join(right, condition, "left").drop(*[f"__on_{i}" for i in range(len(on))])
+    right = right.select(*[F.col(r).alias(l) for l, r in on.items()], *take)
+    if spread_by:
+        return evenly_salted_join(fact, right, list(on), spread_by)
+    return fact.join(right, list(on), "left")
 
 
 def any_of_names(dim: DataFrame, names: Sequence[str], code: str) -> DataFrame:

@@ -1,59 +1,102 @@
-"""Left joins that stay balanced when a few keys hold a large share of the rows."""
+"""Left joins that stay balanced when a few keys hold a large share of the rows.
+
+Adaptive execution splits a hot partition only where both join inputs come straight from a
+shuffle. A right side that was just grouped by the join key, or a chain of joins on one
+key, does not qualify; these operators split such joins themselves.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS = 2_000_000
-SALTS = 64
-SALT = "__salt"
+NULL_SALTS = 1024
+EVEN_SALTS = 8
+SALT, PARTS = "__salt", "__parts"
+
+
+def spread_nulls(key: Column, by: Column) -> Column:
+    """Left-join key whose nulls, which match nothing, scatter over all partitions.
+
+    Left as null they would hash to one partition. Real keys never start with U+0001.
+    """
+    return F.coalesce(key, F.concat(F.lit("\u0001"), F.xxhash64(by).cast("string")))
+
+
+def copies(n: Column | int) -> Column:
+    """Array 0 .. n-1 of salts, to explode a right side into one copy per salt."""
+    last = (F.lit(n) if isinstance(n, int) else n) - 1
+    return F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))
+
+
+def evenly_salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    salts: int = EVEN_SALTS,
+) -> DataFrame:
+    """Left join to a modest lookup: every key is cut into ``salts`` parts.
+
+    The copied lookup is shuffled afresh by (keys, salt), so adaptive execution can split
+    further what is still hot; a lookup under the broadcast threshold is broadcast.
+    """
+    salted = left.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
+    copied = right.withColumn(SALT, F.explode(copies(salts)))
+    return salted.join(copied, [*keys, SALT], "left").drop(SALT)
 
 
-def rows_per_key(df: DataFrame, key: str) -> DataFrame:
-    """(key, n_rows); counts combine map-side, so one key never gathers in one task."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n_rows); counts combine map-side, so one key never gathers in one task."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys of ``rows_per_key`` with more than ``hot_rows`` rows: at most total / hot_rows."""
-    return counts.filter(F.col("n_rows") > hot_rows).select(F.col(key).alias("__hot"))
+def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of ``rows_per_key`` above ``hot_rows`` rows, with the parts to cut each into.
+
+    At most total / hot_rows keys qualify.
+    """
+    parts = F.ceil(F.col("n_rows") / F.lit(hot_rows))
+    renamed = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
+    return counts.filter(F.col("n_rows") > hot_rows).select(*renamed, parts.alias(PARTS))
 
 
 def salted_left_joins(
     left: DataFrame,
     rights: Sequence[DataFrame],
-    key: str,
+    keys: Sequence[str],
     spread_by: Sequence[str],
     hot: DataFrame,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Chain of left joins on one key column shared by ``left`` and every right side.
+    """Chain of left joins on key columns shared by ``left`` and every right side.
 
-    Adaptive execution splits only the lowest join of such a chain, so the split is made
-    here: rows of hot keys (and of null keys) carry a salt from a hash of ``spread_by``,
-    the matching right rows are copied once per salt, all other rows keep salt 0. Every
-    input is shuffled once on (key, salt) and the whole chain reuses that partitioning.
+    Rows of a hot key are cut into parts of about ``hot_rows`` rows by a hash of
+    ``spread_by`` and the matching right rows are copied once per part; all other rows keep
+    salt 0 and one copy. Null keys match nothing and are scattered. Every input is shuffled
+    once on (keys, salt) and the whole chain reuses that partitioning.
 
-    ``hot`` comes from ``hot_keys``: at most rows / hot_rows keys (a trillion rows give half
-    a million), hence the broadcast.
+    ``hot`` comes from ``hot_keys`` (a trillion rows give at most half a million keys),
+    hence the broadcast.
     """
     hot = F.broadcast(hot)
-    salt_of_row = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
+    hot_columns = [c for c in hot.columns if c != PARTS]
 
     def mark(df: DataFrame) -> DataFrame:
-        return df.join(hot, df[key] == hot["__hot"], "left")
+        same = [df[k] == hot[h] for k, h in zip(keys, hot_columns, strict=True)]
+        return df.join(hot, same, "left").drop(*hot_columns)
 
-    spread = mark(left).withColumn(
-        SALT,
-        F.when(F.col("__hot").isNotNull() | F.col(key).isNull(), salt_of_row).otherwise(0),
+    row_hash = F.xxhash64(*spread_by)
+    any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    salt = (
+        F.when(F.col(PARTS).isNotNull(), F.pmod(row_hash, F.col(PARTS)))
+        .when(any_null, F.pmod(row_hash, F.lit(NULL_SALTS)))
+        .otherwise(F.lit(0))
     )
-    out = spread.drop("__hot")
+    out = mark(left).withColumn(SALT, salt.cast("bigint")).drop(PARTS)
     for right in rights:
-        zero = F.lit(0).cast("bigint")
-        every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
-        copies = F.when(F.col("__hot").isNotNull(), every).otherwise(F.array(zero))
-        salted = mark(right).withColumn(SALT, F.explode(copies)).drop("__hot")
-        out = out.join(salted, [key, SALT], "left")
+        parts = F.coalesce(F.col(PARTS), F.lit(1))
+        copied = mark(right).withColumn(SALT, F.explode(copies(parts))).drop(PARTS)
+        out = out.join(copied, [*keys, SALT], "left")
     return out.drop(SALT)

@@ -19,6 +19,7 @@ from branchledger.functions.text import (
 )
 from branchledger.operators.consolidate import Platform, consolidate, from_sources
 from branchledger.operators.lookup import any_of_names
+from branchledger.operators.skew import evenly_salted_join
 from branchledger.operators.stack import stack
 
 
@@ -199,11 +200,13 @@ def customer_dim(
 
 def with_owner_employee(customers: DataFrame, employees: DataFrame) -> DataFrame:
     """Owner's employee code: the accounting code, else by either name of the employee."""
-    names = any_of_names(employees, ["employee_name", "accounting_name"], "employee_code")
-    names = names.withColumnRenamed("employee_code", "__by_name")
-    joined = customers.join(names, customers["owner"] == names["match_name"], "left")
+    names = any_of_names(employees, ["employee_name", "accounting_name"], "employee_code").select(
+        F.col("match_name").alias("owner"), F.col("employee_code").alias("__by_name")
+    )
+    # One owner, or no owner, may hold a large share of the customers.
+    joined = evenly_salted_join(customers, names, ["owner"], ["customer_code"])
     code = F.upper(F.coalesce("owner_code", "__by_name"))
-    return joined.withColumn("employee_code", code).drop("match_name", "__by_name")
+    return joined.withColumn("employee_code", code).drop("__by_name")
 
 
 # --- products -----------------------------------------------------------------------

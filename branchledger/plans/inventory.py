@@ -8,14 +8,14 @@ from branchledger import values as v
 from branchledger.functions.rules import first_match
 from branchledger.functions.text import join_or_blank, norm_code
 from branchledger.operators.skew import (
-    HOT_ROWS, SALTS, hot_keys, rows_per_key, salted_left_joins,
+    HOT_ROWS, hot_keys, rows_per_key, salted_left_joins, spread_nulls,
 )
 
 HISTORY, ORDER = "FILE_INVENTORY", "FILE_ORDER"
 
 
 def with_waybills_and_customers(
-    orders: DataFrame, lading: DataFrame, customers: DataFrame
+    orders: DataFrame, lading: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Order headers with their waybill and customer attributes.
 
@@ -30,28 +30,36 @@ def with_waybills_and_customers(
     owners = customers.select(
         F.col("customer_code").alias("dim_customer"), "dept", "province"
     )
-    return (
-        orders.select(
-            norm_code(F.col("order_code")).alias("doc_code"),
-            F.col("order_code").alias("sales_order"),
-            "account_name",
-            F.col("account_code").alias("customer_code"),
-            F.col("waybill").alias("order_waybill"),
-            F.col("n_products").alias("order_qty"),
-            F.col("amount").alias("order_amount"),
-            F.col("discount").alias("order_discount"),
-            F.col("paid").alias("order_paid"),
-            F.col("created_by").alias("order_created_by"),
-            F.col("status").alias("order_status"),
-            F.col("created_at").alias("order_created_at"),
-        )
-        .withColumn(
-            "customer_type", first_match(F.col("customer_code"), v.CUSTOMER_TYPES_LIKE, None)
-        )
-        .join(ladings, F.col("order_waybill") == F.col("lading_code"), "left")
-        .join(owners, norm_code(F.col("customer_code")) == F.col("dim_customer"), "left")
-        .drop("order_waybill", "dim_customer")
+    headers = orders.select(
+        norm_code(F.col("order_code")).alias("doc_code"),
+        F.col("order_code").alias("sales_order"),
+        "account_name",
+        F.col("account_code").alias("customer_code"),
+        norm_code(F.col("account_code")).alias("dim_customer"),
+        F.col("waybill").alias("order_waybill"),
+        F.col("n_products").alias("order_qty"),
+        F.col("amount").alias("order_amount"),
+        F.col("discount").alias("order_discount"),
+        F.col("paid").alias("order_paid"),
+        F.col("created_by").alias("order_created_by"),
+        F.col("status").alias("order_status"),
+        F.col("created_at").alias("order_created_at"),
+        first_match(F.col("account_code"), v.CUSTOMER_TYPES_LIKE, None).alias("customer_type"),
     )
+    # Most orders have no waybill; their null keys are spread.
+    shipped = headers.join(
+        ladings,
+        spread_nulls(F.col("order_waybill"), F.col("doc_code")) == F.col("lading_code"),
+        "left",
+    ).drop("order_waybill")
+    per_customer = rows_per_key(headers, ["dim_customer"])
+    return salted_left_joins(
+        shipped,
+        [owners],
+        ["dim_customer"],
+        ["doc_code"],
+        hot_keys(per_customer, ["dim_customer"], hot_rows),
+    ).drop("dim_customer")
 
 
 def slips(df: DataFrame, prefix: str) -> DataFrame:
@@ -73,7 +81,6 @@ def inventory_detail(
     products: DataFrame,
     customers: DataFrame,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Every movement and every order without a movement, one row per matching document.
 
@@ -88,30 +95,30 @@ def inventory_detail(
         "partner",
         "occurred_at",
         "product_code",
+        norm_code(F.col("product_code")).alias("dim_product"),
         "product_name",
         "movement",
         "volume",
         "qty",
     ).filter(F.col("doc_code").isNotNull())
     order_codes = orders.select(norm_code(F.col("order_code")).alias("doc_code"))
-    counts = rows_per_key(moves, "doc_code")
+    counts = rows_per_key(moves, ["doc_code"])
     bare = order_codes.dropna().distinct().join(counts, "doc_code", "left_anti")
-    priced = (
-        moves.join(prices, norm_code(F.col("product_code")) == F.col("dim_product"), "left")
-        .drop("dim_product")
-        .withColumn("in_history", F.lit(True))
-    )
+    per_product = rows_per_key(moves, ["dim_product"])
+    priced = salted_left_joins(
+        moves,
+        [prices],
+        ["dim_product"],
+        ["doc_code", "occurred_at"],
+        hot_keys(per_product, ["dim_product"], hot_rows),
+    ).drop("dim_product")
+    headers = with_waybills_and_customers(orders, lading, customers, hot_rows)
     joined = salted_left_joins(
-        priced.unionByName(bare, allowMissingColumns=True),
-        [
-            with_waybills_and_customers(orders, lading, customers).withColumn("in_orders", F.lit(True)),
-            slips(inbound, "in"),
-            slips(outbound, "out"),
-        ],
-        "doc_code",
+        priced.withColumn("in_history", F.lit(True)).unionByName(bare, allowMissingColumns=True),
+        [headers.withColumn("in_orders", F.lit(True)), slips(inbound, "in"), slips(outbound, "out")],
+        ["doc_code"],
         ["product_code", "occurred_at", "partner", "qty"],
-        hot_keys(counts, "doc_code", hot_rows),
-        salts,
+        hot_keys(counts, ["doc_code"], hot_rows),
     )
     in_history, in_orders = F.col("in_history"), F.col("in_orders")
     return joined.select(

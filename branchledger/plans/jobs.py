@@ -14,7 +14,7 @@ from branchledger.operators.checks import control_totals
 from branchledger.operators.periods import Calendar
 from branchledger.plans import dims, field_sales, inventory, ledger, targets
 from branchledger.sinks.files import export_files, read_ledger, write_ledger_month
-from branchledger.sinks.tables import build_table, stage_table, upsert_table
+from branchledger.sinks.tables import build_table, stage_table, staged, upsert_table
 from branchledger.sources import schemas
 from branchledger.sources.naming import report_headers
 from branchledger.sources.reports import (
@@ -81,25 +81,25 @@ STATUS_EXPORTS = {"pending": "pending", "approved": "accepted", "rejected": "can
 def field_sales_job(
     spark: SparkSession, raw_folder: str, staff_path: str, export_folder: str, year: int, month: int
 ) -> list[str]:
-    """Field indicators of one month as export folders; visit rows are staged as well."""
-    rows = field_sales.visit_rows(
-        read_report(spark, f"{raw_folder}/visits", schemas.VISITS)
-    )
-    summary = field_sales.visit_summary_rows(
-        read_report(spark, f"{raw_folder}/visit_summary", schemas.VISIT_SUMMARY)
-    )
-    stage_table(rows, "visit_detail")
-    stage_table(summary, "visit_summary")
+    """Field indicators of one month as export folders.
+
+    Each indicator set is computed once into a staging table; the exports are cuts of it.
+    """
+    rows = field_sales.visit_rows(read_report(spark, f"{raw_folder}/visits", schemas.VISITS))
+    visits = staged(rows, "visit_detail")
+    summary_report = read_report(spark, f"{raw_folder}/visit_summary", schemas.VISIT_SUMMARY)
+    summary = staged(field_sales.visit_summary_rows(summary_report), "visit_summary")
 
     feeds = read_feeds(spark, raw_folder)
     staff = read_sheet(spark, staff_path, schemas.FIELD_STAFF)
-    kpis = field_sales.visit_kpis(rows)
+    kpis = build_table(field_sales.visit_kpis(visits), "visit_kpis", "stg")
     frames = {name: cut(kpis) for name, cut in VISIT_EXPORTS.items()}
     frames |= {name: cut(summary) for name, cut in SUMMARY_EXPORTS.items()}
     for kind, feed in (("KH", "customers"), ("TN", "prospects")):
-        counts = field_sales.account_status(feeds[feed], staff, year, month)
-        for status, word in STATUS_EXPORTS.items():
-            frames[f"__{kind}_{word}"] = field_sales.status_report(counts, status)
+        status = field_sales.account_status(feeds[feed], staff, year, month)
+        counts = build_table(status, f"account_status_{feed}", "stg")
+        for name, word in STATUS_EXPORTS.items():
+            frames[f"__{kind}_{word}"] = field_sales.status_report(counts, name)
 
     held = {
         name: field_sales.sales_accounts(df, v.SHARED_POOL if name.startswith("shared_") else None)
@@ -150,53 +150,37 @@ def dimension_job(
 ) -> None:
     """Stage every report and build the dimensions in dependency order.
 
-    Customers read the finished employee dimension from its table.
+    Customers read the finished employee dimension. Every step after staging reads tables.
     """
-    staff = read_staff(spark, f"{accounting_folder}/employees", offices)
-    acc_customers = read_offices(
-        spark, f"{accounting_folder}/customers", schemas.ACCOUNTING_CUSTOMERS, offices
-    )
-    acc_products = read_offices(
-        spark, f"{accounting_folder}/products", schemas.ACCOUNTING_PRODUCTS, offices
-    )
-    field_staff = read_sheet(spark, f"{field_folder}/employees", schemas.FIELD_STAFF)
-    field_products = read_sheet(spark, f"{field_folder}/products", schemas.FIELD_PRODUCTS)
-    feeds = read_feeds(spark, f"{field_folder}/customers")
-    hr = drop_last_columns(read_sheet(spark, f"{hand_folder}/employees", schemas.HR_STAFF), 2)
-    hand_customers = read_sheet(spark, f"{hand_folder}/customers", schemas.HAND_CUSTOMERS)
-    hand_products = read_sheet(spark, f"{hand_folder}/products", schemas.HAND_PRODUCTS)
-
-    staged = {
-        "accounting_employees": staff,
-        "accounting_customers": acc_customers,
-        "accounting_products": acc_products,
-        "field_employees": field_staff,
-        "field_products": field_products,
-        "hr_employees": hr,
-        "hand_customers": hand_customers,
-        "hand_products": hand_products,
-        **{f"field_{name}": df for name, df in feeds.items()},
+
+    def offices_of(kind: str, layout: schemas.Layout) -> DataFrame:
+        return read_offices(spark, f"{accounting_folder}/{kind}", layout, offices)
+
+    def sheet(folder: str, layout: schemas.Layout) -> DataFrame:
+        return read_sheet(spark, folder, layout)
+
+    staff = staged(read_staff(spark, f"{accounting_folder}/employees", offices), "accounting_employees")
+    acc_customers = staged(offices_of("customers", schemas.ACCOUNTING_CUSTOMERS), "accounting_customers")
+    acc_products = staged(offices_of("products", schemas.ACCOUNTING_PRODUCTS), "accounting_products")
+    field_staff = staged(sheet(f"{field_folder}/employees", schemas.FIELD_STAFF), "field_employees")
+    field_products = staged(sheet(f"{field_folder}/products", schemas.FIELD_PRODUCTS), "field_products")
+    feeds = {
+        name: staged(df, f"field_{name}")
+        for name, df in read_feeds(spark, f"{field_folder}/customers").items()
     }
-    for name, df in staged.items():
-        stage_table(df, name)
+    hr = drop_last_columns(sheet(f"{hand_folder}/employees", schemas.HR_STAFF), 2)
+    hr = staged(hr, "hr_employees")
+    hand_customers = staged(sheet(f"{hand_folder}/customers", schemas.HAND_CUSTOMERS), "hand_customers")
+    hand_products = staged(sheet(f"{hand_folder}/products", schemas.HAND_PRODUCTS), "hand_products")
 
     build_table(dims.product_dim(field_products, acc_products, hand_products, labels), "products", "int")
-    build_table(dims.hr_clean(hr), "clean_hr_employees", "stg")
-    build_table(
-        dims.employee_dim(staff, field_staff, spark.table("stg.clean_hr_employees"), labels),
-        "employees",
-        "int",
+    clean_hr = build_table(dims.hr_clean(hr), "clean_hr_employees", "stg")
+    employees = build_table(
+        dims.employee_dim(staff, field_staff, clean_hr, labels), "employees", "int"
     )
-    unified = dims.unified_customers(feeds)
-    build_table(unified, "clean_field_customers", "stg")
+    unified = build_table(dims.unified_customers(feeds), "clean_field_customers", "stg")
     build_table(
-        dims.customer_dim(
-            spark.table("stg.clean_field_customers"),
-            hand_customers,
-            acc_customers,
-            spark.table("int.employees"),
-            labels,
-        ),
+        dims.customer_dim(unified, hand_customers, acc_customers, employees, labels),
         "customers",
         "int",
     )

@@ -48,6 +48,7 @@ def with_employee_code(sales: DataFrame, staff: DataFrame, exclude: Sequence[str
         drop_codes(staff, "employee_code", exclude),
         {"salesperson": "employee_name", "dept": "dept"},
         ["employee_code"],
+        spread_by=["voucher_no", "product_code"],
     )
 
 

@@ -29,10 +29,16 @@ def stage_table(
     return True
 
 
-def build_table(df: DataFrame, table: str, schema: str, mode: str = "overwrite") -> None:
-    """Create or replace a catalog table."""
+def staged(df: DataFrame, table: str, schema: str = "stg") -> DataFrame:
+    """Stage a frame and continue from the table, so that reports are parsed once."""
+    return df.sparkSession.table(f"{schema}.{table}") if stage_table(df, table, schema) else df
+
+
+def build_table(df: DataFrame, table: str, schema: str, mode: str = "overwrite") -> DataFrame:
+    """Create or replace a catalog table; returns it as a DataFrame."""
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     df.write.mode(mode).format("parquet").saveAsTable(f"`{schema}`.`{table}`")
+    return df.sparkSession.table(f"{schema}.{table}")
 
 
 def upsert_table(

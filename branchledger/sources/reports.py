@@ -16,6 +16,8 @@ from branchledger.functions.local import config_table
 from branchledger.sources.schemas import Layout
 
 FILE, BLOCK, ROW = "__file", "__block", "__row"
+# Files up to which the per-file edge positions (some 200 bytes each) are broadcast.
+MAX_BROADCAST_FILES = 200_000
 TEMP_PREFIX = "~$"
 
 
@@ -60,6 +62,8 @@ def read_report(
         F.col("first")[BLOCK].alias("__first_block"),
         F.col("last").alias("__last"),
     )
+    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
+        edges = F.broadcast(edges)
     placed = raw.join(edges, F.col(FILE) == F.col("__edge_file"))
     body = placed.filter(
         (F.col(BLOCK) > F.col("__first_block")) | (F.col(ROW) >= F.col("__from"))
