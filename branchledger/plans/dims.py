@@ -148,14 +148,13 @@ def unified_customers(feeds: Mapping[str, DataFrame], labels: Mapping[str, str]
     return stacked_customers(feeds, labels).distinct()
 
 
-def customer_dim(
+def customer_base(
     unified: DataFrame,
     hand_kept: DataFrame,
     accounting: DataFrame,
-    employees: DataFrame,
     labels: Platforms = Platforms(),
 ) -> DataFrame:
-    """One row per customer code, with the owner's employee code.
+    """One row per customer code, without the owner's employee code.
 
     ``unified`` may hold duplicates: the consolidation takes maxima, so
     ``stacked_customers`` saves the shuffle of ``unified_customers``.
@@ -178,7 +177,7 @@ def customer_dim(
         },
         "customer_code",
     )
-    shaped = merged.select(
+    return merged.select(
         "customer_code",
         survivor(from_sources("customer_name", fld, fil, acc)).alias("customer_name"),
         F.col(f"{acc}__customer_name").alias("accounting_name"),
@@ -195,7 +194,17 @@ def customer_dim(
         F.col(f"{acc}__owner_code").alias("owner_code"),
         "platforms",
     )
-    return with_owner_employee(shaped, employees)
+
+
+def customer_dim(
+    unified: DataFrame,
+    hand_kept: DataFrame,
+    accounting: DataFrame,
+    employees: DataFrame,
+    labels: Platforms = Platforms(),
+) -> DataFrame:
+    """``customer_base`` with the employee code of the owner."""
+    return with_owner_employee(customer_base(unified, hand_kept, accounting, labels), employees)
 
 
 def with_owner_employee(customers: DataFrame, employees: DataFrame) -> DataFrame:
