@@ -109,7 +109,10 @@ def province_ledger(
 def one_office(
     sales: DataFrame, office: str, closings: Sequence[Closing]
 ) -> tuple[DataFrame, Calendar]:
-    """A single province file as ``province_ledger`` input."""
+    """A single province file as ``province_ledger`` input.
+
+    With a constant department the period join scans the office's own few closings.
+    """
     return sales.withColumn("dept", F.lit(office)), {office: closings}
 
 

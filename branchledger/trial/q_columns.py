@@ -102,7 +102,7 @@ def _month_labels(matrix: DataFrame) -> DataFrame:
         "period", P.month_label_key(F.col("label"), 2026))
 
 
-query("month_parts", """SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n
+query("month_parts", """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n
 FROM orders GROUP BY ALL""", ("orders",))(
     lambda o: o.groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     .agg(F.count(F.lit(1)).alias("n"))

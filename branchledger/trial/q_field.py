@@ -37,7 +37,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 query("visit_detail_rows", f"{ROWS} SELECT * FROM visit_rows", ("visits",))(K.visit_rows)
 
-query("visit_flags", f"""{ROWS} SELECT {KEYS}, sum(complete) AS complete, sum(incomplete) AS incomplete
+query("visit_flags", f"""{ROWS} SELECT {KEYS}, CAST(sum(complete) AS BIGINT) AS complete, CAST(sum(incomplete) AS BIGINT) AS incomplete
 FROM keyed GROUP BY {KEYS}""", ("visits",))(lambda x: K.visit_flags(kpis(x)))
 
 query("visit_distinct_customers", f"""{ROWS} SELECT {KEYS}, count(DISTINCT customer_code) AS distinct_customers
@@ -50,7 +50,7 @@ query("visit_minutes", f"{ROWS} SELECT {KEYS}, {TIME} FROM keyed GROUP BY {KEYS}
     lambda x: rounded(K.visit_time(kpis(x)), "minutes", "avg_minutes")
 )
 
-query("visit_kpis", f"""{ROWS} SELECT {KEYS}, sum(complete) AS complete, sum(incomplete) AS incomplete,
+query("visit_kpis", f"""{ROWS} SELECT {KEYS}, CAST(sum(complete) AS BIGINT) AS complete, CAST(sum(incomplete) AS BIGINT) AS incomplete,
  count(DISTINCT customer_code) AS distinct_customers, {TIME} FROM keyed GROUP BY {KEYS}""", ("visits",))(
     lambda x: rounded(kpis(x), "minutes", "avg_minutes")
 )

@@ -56,7 +56,7 @@ FROM ledger WHERE closing_year = 1997 GROUP BY ALL""", ("sales", "staff"))(
 )
 
 query("control_totals", f"""{S.both_ledgers()}
-SELECT count(*) AS n_rows, 29 AS n_columns,
+SELECT count(*) AS n_rows, CAST(29 AS BIGINT) AS n_columns,
  CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE) AS gross_revenue,
  CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS net_revenue
 FROM ledger WHERE closing_year = 1998""", ("sales", "staff"))(
@@ -80,7 +80,7 @@ def _period_sql(calendar, dept: str, fallback: str) -> str:
  CAST(strptime(posting_date, '%d/%m/%Y') AS DATE) AS posted FROM sales_lines),
 p AS (SELECT t.*, {S.period_case(calendar, 't.dept', 't.posted', fallback)} AS cm FROM t)
 SELECT voucher_no, product_code, dept, CAST(posted AS VARCHAR) AS posting_date,
- strftime(cm, '%Y-%m') AS period, month(cm) AS closing_month, year(cm) AS closing_year FROM p"""
+ strftime(cm, '%Y-%m') AS period, CAST(month(cm) AS INTEGER) AS closing_month, CAST(year(cm) AS INTEGER) AS closing_year FROM p"""
 
 
 query("period_intervals_head_office",

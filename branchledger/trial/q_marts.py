@@ -43,7 +43,7 @@ SELECT *, recency_score + frequency_score + monetary_score AS rfm_total FROM s""
 query("product_yoy", f"""{HEAD},
 y AS (SELECT product_code, closing_year, sum({DEC.format('net_revenue')}) AS revenue FROM head
  WHERE closing_year IS NOT NULL GROUP BY ALL)
-SELECT a.product_code, a.closing_year, CAST(a.revenue AS DOUBLE) AS revenue, CAST(b.revenue AS DOUBLE) AS last_year,
+SELECT a.product_code, CAST(a.closing_year AS INTEGER) AS closing_year, CAST(a.revenue AS DOUBLE) AS revenue, CAST(b.revenue AS DOUBLE) AS last_year,
  round(CAST(a.revenue - b.revenue AS DOUBLE) / CAST(nullif(b.revenue, 0) AS DOUBLE), 4) AS growth
 FROM y a LEFT JOIN y b ON a.product_code = b.product_code AND a.closing_year = b.closing_year + 1""", LINES)(
     lambda s, st: M.product_yoy(head(s, st)).withColumn("growth", F.round(

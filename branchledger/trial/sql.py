@@ -132,7 +132,7 @@ def ledger(name: str, calendar: Calendar, fallback: str, salesperson: str, keep_
 {name} AS (
  SELECT CAST(posted AS VARCHAR) AS posting_date, {_REPORT}, qty_sold, unit_price, gross_sales, discount,
   qty_returned, return_value, vat, total_payment, {salesperson} AS salesperson, employee_code, dept,
-  month(cm) AS closing_month, year(cm) AS closing_year, strftime(cm, '%Y-%m') AS period,
+  CAST(month(cm) AS INTEGER) AS closing_month, CAST(year(cm) AS INTEGER) AS closing_year, strftime(cm, '%Y-%m') AS period,
   {customer_type_case('customer_code')} AS customer_type,
   total_payment - vat AS net_revenue, qty_sold - qty_returned AS net_qty
  FROM {name}_dated)"""

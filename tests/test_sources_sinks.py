@@ -87,6 +87,11 @@ def test_offices(spark, tmp_path, rows):
     assert rows(missing_offices(spark, str(tmp_path), offices).select("office")) == [("VP Nha Trang",)]
 
 
+def test_no_office_file_at_all(spark, tmp_path):
+    write(tmp_path / "other.csv", report_text([("3", "z")]))
+    assert read_offices(spark, str(tmp_path), REPORT, {"VP Vinh": "vinh.csv"}).count() == 0
+
+
 def test_year_glob(spark, tmp_path, rows):
     for folder, name, code in [("T1_2026", "Tong_Hop_Sale.csv", "1"), ("T12_2026", "ABC_Tong_Hop.csv", "2"),
                                ("T1_2025", "Tong_Hop.csv", "3"), ("T2_2026", "~$Tong_Hop.csv", "4"), ("T2_2026", "Chi tiet.csv", "5")]:
