@@ -8,7 +8,7 @@ from branchledger import values as v
 from branchledger.functions.rules import first_match
 from branchledger.functions.text import join_or_blank, norm_code
 from branchledger.operators.skew import (
-    HOT_ROWS, hot_keys, rows_per_key, salted_left_joins, spread_nulls,
+    HOT_ROWS, evenly_salted_join, hot_keys, rows_per_key, salted_left_joins, spread_nulls,
 )
 
 HISTORY, ORDER = "FILE_INVENTORY", "FILE_ORDER"
@@ -104,13 +104,8 @@ def inventory_detail(
     order_codes = orders.select(norm_code(F.col("order_code")).alias("doc_code"))
     counts = rows_per_key(moves, ["doc_code"])
     bare = order_codes.dropna().distinct().join(counts, "doc_code", "left_anti")
-    per_product = rows_per_key(moves, ["dim_product"])
-    priced = salted_left_joins(
-        moves,
-        [prices],
-        ["dim_product"],
-        ["doc_code", "occurred_at"],
-        hot_keys(per_product, ["dim_product"], hot_rows),
+    priced = evenly_salted_join(
+        moves, prices, ["dim_product"], ["doc_code", "occurred_at"]
     ).drop("dim_product")
     headers = with_waybills_and_customers(orders, lading, customers, hot_rows)
     joined = salted_left_joins(

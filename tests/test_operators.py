@@ -126,6 +126,18 @@ def test_salted_joins_equal_plain_joins(spark, hot_rows):
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
 
 
+def test_salted_join_on_two_keys(spark):
+    left = spark.createDataFrame([("a", "x", i) for i in range(30)] + [("a", None, 90), (None, "x", 91), ("b", "y", 92)],
+                                 "k string, g string, i int")
+    right = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 3), ("a", None, 4), (None, "x", 5)],
+                                  "k string, g string, r int")
+    hot = hot_keys(rows_per_key(left, ["k", "g"]), ["k", "g"], 4)
+    got = salted_left_joins(left, [right], ["k", "g"], ["i"], hot)
+    want = left.join(right, ["k", "g"], "left")
+    assert hot.first()["__parts"] == 8
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
 def test_hot_rows_spread_over_partitions(spark):
     left = spark.range(4000).select(F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("code"), "id")
     right = spark.createDataFrame([("hot", 1)], "code string, r int")
