@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a row filter; its size does not depend on the rows.
+FILTER_BITS = 1 << 26
+
+
+def filter_bit(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+
+
+def row_filter(df: DataFrame, *columns: str) -> np.ndarray:
+    """A bit for each hash of the rows' ``columns``: a filter of fixed size for another table.
+
+    Where it is full it lets every row pass, so it must stand before a join, never for one.
+    """
+    bit = df.select((filter_bit(*columns) + 1).alias("bit"))
+    buckets = bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in buckets.collect():  # FILTER_BITS bits in all
+        out[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def passing(filter_: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (filter_[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 > 0
+
+
+def let_pass(df: DataFrame, filter_: Broadcast, *columns: str, keep: bool = True) -> DataFrame:
+    """The rows of ``df`` whose ``columns`` pass a row filter, or with ``keep=False`` the others."""
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed = passing(filter_.value, batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.select(batch.schema.names[:-1]).filter(pa.array(passed == keep))
+
+    return df.select("*", filter_bit(*columns).alias("filter_bit")).mapInArrow(run, own)
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of a number's decimal text modulo ``modulus``; null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import written
+from branchledger.llm.common import let_pass, row_filter, written
 
 
 def normalised(text: Column) -> Column:
@@ -39,6 +39,7 @@ def equal_classes(
 
     The digest is an output only. ``kept`` marks one row of each group.
     """
+    spark = docs.sparkSession
     body = F.encode(normalised(F.col(text_col)), "utf-8")
     active = docs.select(F.col(id_col).alias("id"), body.alias("rest")).select(
         "id",
@@ -57,7 +58,17 @@ def equal_classes(
             .withColumn("next", F.monotonically_increasing_id())
         )
         groups = written(groups, f"radix-groups-{round_}")
-        split = rows.join(groups, ["grp", "digit"], "left").select(
+        near, alone = rows, []
+        if not round_:
+            # Documents alone in their group, most of them in this round, are not shuffled.
+            wanted = spark.sparkContext.broadcast(row_filter(groups, "grp", "digit"))
+            near = let_pass(rows, wanted, "grp", "digit")
+            alone.append(
+                let_pass(rows, wanted, "grp", "digit", keep=False).selectExpr(
+                    "id", "text_sha256", "1L group_size", "id keep_id", "cast(null as long) next", "cast(null as binary) rest"
+                )
+            )
+        split = near.join(groups, ["grp", "digit"], "left").select(
             "id",
             "text_sha256",
             F.coalesce("group_size", F.lit(1)).alias("group_size"),
@@ -68,6 +79,8 @@ def equal_classes(
                 F.substring("rest", digit + 1, 2**31 - 1),
             ).alias("rest"),
         )
+        for part in alone:
+            split = split.unionByName(part)
         split = written(split, f"radix-{round_}")
         done.append(split.where("rest is null").drop("rest"))
         active = split.where("rest is not null").select("id", "rest", "text_sha256", F.col("next").alias("grp"))
@@ -100,14 +113,19 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of rows with the same id and the same normalised text one stays.
     """
+    spark = docs.sparkSession
     classes = written(equal_classes(docs, id_col, text_col), "radix-classes")
     stay = classes.where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     own = own.withColumn("id", F.col("row").getField(id_col))
     own = own.withColumn("sha", F.sha2(F.encode(normalised(F.col("row").getField(text_col)), "utf-8"), 256))
-    rows = own.join(stay, F.col("id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")), "left_semi")
+    gone = classes.where("group_size > 1")
+    # Rows of classes of one stay without a join; the filter spares them the shuffle.
+    wanted = spark.sparkContext.broadcast(row_filter(gone, "text_sha256"))
+    many, single = let_pass(own, wanted, "sha"), let_pass(own, wanted, "sha", keep=False)
+    rows = many.join(stay, F.col("id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")), "left_semi")
     # A repeated row meets its one staying copy more than once.
-    repeated = classes.where("group_size > 1").groupBy(id_col, "text_sha256").count().where("count > 1")
+    repeated = gone.groupBy(id_col, "text_sha256").count().where("count > 1")
     if not repeated.isEmpty():
         rows = rows.dropDuplicates(["id", "sha"])
-    return rows.select("row.*")
+    return rows.unionByName(single).select("row.*")

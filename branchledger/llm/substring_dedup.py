@@ -16,8 +16,7 @@ at the same place, so windows need comparing only around equal anchors, about on
 4. Repeated windows become byte ranges of the documents, which are merged and cut out.
 
 An anchor's group holds its distinct contexts only, however many copies there are; a document's
-anchors are bounded by its length. Documents are dealt once; the three later uses read the same
-shuffle.
+anchors are bounded by its length. Only documents with a repeated anchor are dealt.
 
 Defined cases: null text is empty; matches never cross documents; a text shorter than ``length``
 is never cut; rows with equal ids are separate documents, and repeated rows repeat all their text;
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, grouped, written
+from branchledger.llm.common import as_bytes, grouped, let_pass, row_filter, written
 from branchledger.llm.hashing import mix
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -455,7 +454,10 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
         "repeat-anchors",
     )
     lists = places.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "lo", "a", "w")).alias("places"))
-    hit = keyed.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
+    # Documents without a repeated anchor, most of them, are done; a filter spares their shuffle.
+    wanted = spark.sparkContext.broadcast(row_filter(places, "k1"))
+    near = let_pass(keyed, wanted, "k1")
+    hit = near.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
     contexts = hit.mapInArrow(_contexts(p, False), "h long, a int, context binary, copies long")
     windows = (
         contexts.repartition(parts, "h").sortWithinPartitions("h")
@@ -468,7 +470,8 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
         .agg(F.collect_list(F.struct((F.col("lo") + F.col("first")).alias("start"), (F.col("lo") + F.col("end")).alias("end"))).alias("ranges"))
     )
     own = keyed.schema["own"].dataType.simpleString()
-    return keyed.join(ranges, ["k1", "k2"], "left").mapInArrow(
-        partial(_cut, as_text=as_text),
-        f"own {own}, n_bytes long, spans array<struct<start: long, end: long>>, kept {'string' if as_text else 'binary'}",
-    )
+    none = F.lit(None).cast("array<struct<start: long, end: long>>").alias("ranges")
+    clean = let_pass(keyed, wanted, "k1", keep=False).select("k1", "k2", "text", "own", none)
+    schema = f"own {own}, n_bytes long, spans array<struct<start: long, end: long>>, kept {'string' if as_text else 'binary'}"
+    cut = partial(_cut, as_text=as_text)
+    return near.join(ranges, ["k1", "k2"], "left").mapInArrow(cut, schema).unionByName(clean.mapInArrow(cut, schema))
