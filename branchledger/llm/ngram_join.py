@@ -9,7 +9,9 @@ Two documents link when ``intersection / union >= num / den`` of their shingle s
   ``n - ceil(num * n / den) + 1`` shingles are needed: two linked sets share one of them. Rarity
   comes from a count sketch of fixed size; a rough count costs time, never a link.
 * The boundary between light and heavy is the largest size whose subsets cost less than its lists.
-* Keys that several sets share bring them together. A short list compares its sets' parity
+* Keys that several sets share bring them together. Sizes and the places of the shared shingle
+  in both sets bound an intersection; sets with no possible partner on a list leave it. A short
+  list then compares its sets' parity
   bitmaps, whose difference is a lower bound of the sets' difference, so only pairs that cannot
   link are dropped; a long list ties its sets to its first. That yields groups of candidates,
   connected components found by star rounds. Groups are cut into blocks of bounded size; each
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, components, grouped, written
+from branchledger.llm.common import as_bytes, components, filter_bit, grouped, let_pass, passing, row_filter, written
 from branchledger.llm.hashing import chunks, mix, shingle_sets
 
 
@@ -191,7 +193,10 @@ def boundary(sizes: dict[int, int], list_length: float, p: Join) -> int:
 
 
 def _keys(p: Join, light: int, sketch):
-    """(key, sid, n) of every text: subsets if light, rarest shingles if heavy or next to heavy."""
+    """(key, sid, size and place) of every text: subsets if light, rarest shingles if heavy or next to it.
+
+    ``place`` is the shingle's rank in the set, 0 for a subset; it shares a number with the size.
+    """
     shift = np.uint64(64 - (p.counters - 1).bit_length())
 
     def subsets(tokens: np.ndarray) -> list[np.ndarray]:
@@ -208,24 +213,26 @@ def _keys(p: Join, light: int, sketch):
         levels = sketch.value
         for batch in batches:
             for _, part in chunks(as_bytes(batch.column(0))):
-                keys, sids, ns = [], [], []
+                keys, sids, places = [], [], []
                 for tokens in shingle_sets(part, p.words):
                     n = tokens.size
                     if not n:
                         continue
                     own = subsets(tokens) if n <= light else []
+                    at = [np.zeros(sum(x.size for x in own), np.int64)]
                     if n > light or p.largest(n) > light:
                         ranked = (levels[(tokens >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(55)) | (mix(tokens) >> np.uint64(9))
                         k = p.prefix(n)
-                        own.append(np.partition(ranked, k - 1)[:k] if k < n else ranked)
+                        own.append(np.sort(np.partition(ranked, k - 1)[:k] if k < n else ranked))
+                        at.append(np.arange(k))
                     key = np.concatenate(own)
                     keys.append(key)
                     sids.append(_digest(tokens))
-                    ns.append(n)
+                    places.append((n << 32) + np.concatenate(at))
                 if keys:
                     lengths = [k.size for k in keys]
-                    arrays = [_signed(np.concatenate(keys)), np.repeat(np.array(sids, np.int64), lengths), np.repeat(np.array(ns, np.int32), lengths)]
-                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["key", "sid", "n"])
+                    arrays = [_signed(np.concatenate(keys)), np.repeat(np.array(sids, np.int64), lengths), np.concatenate(places)]
+                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["key", "sid", "place"])
 
     return run
 
@@ -245,8 +252,18 @@ def _shared_keys(p: Join):
 
         def close() -> None:
             if hub is None and len(held) > 1:
-                for sid, n in held:
-                    put(key, sid, n)
+                own = sorted((place >> 32, place & 0xFFFFFFFF, sid) for sid, place in held)
+                stay = [False] * len(own)
+                for y, (m, j, _) in enumerate(own):
+                    for x in range(y - 1, -1, -1):
+                        n, i, _ = own[x]
+                        if p.den * n < p.num * m:
+                            break
+                        if (p.num + p.den) * min(n - i, m - j) >= p.num * (n + m):
+                            stay[x] = stay[y] = True
+                for (n, _, sid), s in zip(own, stay):
+                    if s:
+                        put(key, sid, n)
 
         def batch_out() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["key", "sid", "n"])
@@ -257,7 +274,7 @@ def _shared_keys(p: Join):
         for batch in batches:
             keys = batch.column(0).to_numpy()
             sids = batch.column(1).to_numpy()
-            ns = batch.column(2).to_numpy()
+            places = batch.column(2).to_numpy()
             # Keys of a single row, almost all, are passed over without a Python step.
             alone = np.ones(keys.size, bool)
             alone[1:] &= keys[1:] != keys[:-1]
@@ -265,7 +282,7 @@ def _shared_keys(p: Join):
             if keys.size:
                 alone[0] = alone[-1] = False
             at = np.flatnonzero(~alone)
-            for k, s, n in zip(keys[at].tolist(), sids[at].tolist(), ns[at].tolist()):
+            for k, s, place in zip(keys[at].tolist(), sids[at].tolist(), places[at].tolist()):
                 if k != key:
                     close()
                     key, last, held, hub = k, None, [], None
@@ -275,7 +292,7 @@ def _shared_keys(p: Join):
                 if hub is not None:
                     put(hub, s, -1)
                     continue
-                held.append((s, n))
+                held.append((s, place))
                 if len(held) > p.short_list:
                     hub = held[0][0]
                     for other, _ in held[1:]:
@@ -330,20 +347,15 @@ def _may_link(p: Join):
     return run
 
 
-def _sets(p: Join):
-    """The sets of the candidate documents, as bytes."""
+def _sets(p: Join, wanted):
+    """Digest and bytes of the sets of texts that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column(batch.schema.get_field_index("text")))
-            rest = batch.drop_columns(["text"])
-            for first, part in chunks(texts):
-                sets = shingle_sets(part, p.words)
-                own = rest.slice(first, len(sets))
-                kept = pa.array([s.size > 0 and _digest(s) == d for s, d in zip(sets, own.column("sid").to_pylist())], pa.bool_())
-                sets = [s.tobytes() for s, k in zip(sets, kept.to_pylist()) if k]
-                own = own.filter(kept)
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(sets, pa.binary())], names=[*own.schema.names, "tokens"])
+            kept = batch.filter(pa.array(passing(wanted.value, batch.column(0).to_numpy())))
+            for _, part in chunks(as_bytes(kept.column(1))):
+                sets = [s for s in shingle_sets(part, p.words) if s.size]
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sid", "tokens"])
 
     return run
 
@@ -396,7 +408,7 @@ def scan_lists(sets: list[np.ndarray], side: np.ndarray, weight: np.ndarray, p:
 def _verify(p: Join):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, ["grp", "one", "two"]):
-            # Repeated rows of one document give its set more than once.
+            # Rows that share the id by which the filter chose them can give a set more than once.
             _, first = np.unique(table.column("sid").to_numpy(), return_index=True)
             table = table.take(pa.array(first))
             sids = table.column("sid").to_pylist()
@@ -430,7 +442,7 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     light = boundary(small, float(np.mean(2.0 ** (rare / 8.0) - 1)), p)
 
     ranks = spark.sparkContext.broadcast(sketch)
-    keys = texts.select("text").mapInArrow(_keys(p, light, ranks), "key long, sid long, n int")
+    keys = texts.select("text").mapInArrow(_keys(p, light, ranks), "key long, sid long, place long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = written(
         keys.repartition(parts, "key").sortWithinPartitions("key", "sid")
@@ -453,12 +465,10 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
         "ngram-members",
     )
     ranged = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(own, x) one, greatest(own, x) two))")
-    # Rows that share an id may differ in text: the task keeps those whose digest is the set's.
-    tokens = (
-        texts.join(members, F.col("id").eqNullSafe(F.col("first")))
-        .select("sid", "grp", "copies", "own", "blocks", "text")
-        .mapInArrow(_sets(p), "sid long, grp long, copies long, own int, blocks int, tokens binary")
-    )
+    # Sets of the members' first documents; others that slip through the filter fall to the join.
+    wanted = spark.sparkContext.broadcast(row_filter(members, "first"))
+    found = texts.select(filter_bit("id").alias("bit"), "text").mapInArrow(_sets(p, wanted), "sid long, tokens binary")
+    tokens = found.join(members, "sid")
     units = tokens.withColumn("unit", F.explode(ranged)).select("grp", "unit.one", "unit.two", "sid", "copies", "own", "tokens")
     linked = written(
         units.repartition(parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two")
@@ -496,4 +506,6 @@ def one_of_each(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col: str
     order = F.struct(F.isnull("id").alias("unnamed"), "id", "key")
     stay = members.groupBy("component_id").agg(F.min(order).getField("key").alias("stay"))
     gone = written(members.join(stay, "component_id").where("key <> stay").select("key"), "ngram-gone")
-    return keyed.join(gone, "key", "left_anti").select("row.*")
+    wanted = docs.sparkSession.sparkContext.broadcast(row_filter(gone, "key"))
+    some, other = let_pass(keyed, wanted, "key"), let_pass(keyed, wanted, "key", keep=False)
+    return some.join(gone, "key", "left_anti").unionByName(other).select("row.*")
