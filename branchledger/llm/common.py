@@ -93,6 +93,13 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that Python copies of few texts exist at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal keys in batches sorted by them. Holds one run at a time."""
     open_run: list[pa.RecordBatch] = []

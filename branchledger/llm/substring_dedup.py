@@ -33,10 +33,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, grouped, let_pass, row_filter, written
+from branchledger.llm.common import as_bytes, filter_bit, grouped, let_pass, passing, row_filter, sliced, written
 from branchledger.llm.hashing import mix
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -173,41 +174,42 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         last = h[-1]
 
 
-def _contexts(p: Repeats, occurrences: bool):
-    """Contexts of the documents' repeated anchors, equal ones of a batch counted together.
+CONTEXTS = "h long, a int, context binary, copies long, k1 long, k2 long, lo long, x1 long, x2 long"
 
-    With ``occurrences``, instead each one's document, place and context digest.
+
+def _contexts(p: Repeats):
+    """Contexts of the documents' repeated anchors, equal ones of a slice counted together.
+
+    Besides, each one's document, place and context digest; those rows have no context.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             seen: dict[tuple[int, int, bytes], int] = {}
             rows: list[tuple] = []
-            places = batch.column(batch.schema.get_field_index("places")).to_pylist()
-            texts = as_bytes(batch.column(batch.schema.get_field_index("text")))
-            k1, k2 = (batch.column(batch.schema.get_field_index(k)).to_pylist() for k in ("k1", "k2"))
-            for i, (text, own) in enumerate(zip(texts, places)):
+            k1, k2, texts, places = (batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "places"))
+            for one, two, text, own in zip(k1.to_pylist(), k2.to_pylist(), as_bytes(texts), places.to_pylist()):
                 # Equal rows have joined with each other's anchors as well.
                 for h, lo, a, w in {(x["h"], x["lo"], x["a"], x["w"]) for x in own}:
                     context = text[lo : lo + w + p.length]
-                    if occurrences:
-                        rows.append((k1[i], k2[i], lo, *_digest(h, a, context)))
-                    else:
-                        seen[h, a, context] = seen.get((h, a, context), 0) + 1
-            if occurrences:
-                columns = list(zip(*rows)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "lo", "x1", "x2"])
+                    seen[h, a, context] = seen.get((h, a, context), 0) + 1
+                    rows.append((one, two, lo, *_digest(h, a, context)))
+            n, places_of = len(seen), list(zip(*rows)) or [()] * 5
+            if not n:
                 continue
-            items = list(seen.items())
-            for at in range(0, max(1, len(items)), 20_000):
-                part = items[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([x[0][0] for x in part], pa.int64()), pa.array([x[0][1] for x in part], pa.int32()),
-                        pa.array([x[0][2] for x in part], pa.binary()), pa.array([x[1] for x in part], pa.int64()),
-                    ],
-                    names=["h", "a", "context", "copies"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([x[0] for x in seen], pa.int64()), pa.array([x[1] for x in seen], pa.int32()),
+                    pa.array([x[2] for x in seen], pa.binary()), pa.array(list(seen.values()), pa.int64()),
+                    *[pa.nulls(n, pa.int64())] * 5,
+                ],
+                names=["h", "a", "context", "copies", "k1", "k2", "lo", "x1", "x2"],
+            )
+            m = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), *(pa.array(c, pa.int64()) for c in places_of)],
+                names=["h", "a", "context", "copies", "k1", "k2", "lo", "x1", "x2"],
+            )
 
     return run
 
@@ -410,14 +412,17 @@ def _ranges(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["x1", "x2", "first", "end"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], as_text: bool = False) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _cut(batches: Iterator[pa.RecordBatch], as_text: bool = False, clean: Broadcast | None = None) -> Iterator[pa.RecordBatch]:
+    """Texts without their ranges; with the filter ``clean``, whole texts that do not pass it."""
+    if clean is not None:
+        batches = (b.filter(pa.array(~passing(clean.value, b.column(b.schema.get_field_index("bit")).to_numpy()))) for b in batches)
+    for batch in sliced(batches):
         texts = as_bytes(batch.column(batch.schema.get_field_index("text")))
-        found = batch.column(batch.schema.get_field_index("ranges")).to_pylist()
-        rest = batch.drop_columns(["text", "ranges", "k1", "k2"])
+        found = batch.column(batch.schema.get_field_index("ranges")).to_pylist() if clean is None else [None] * batch.num_rows
+        own = batch.column(batch.schema.get_field_index("own"))
         spans, kept = [], []
-        for text, own in zip(texts, found):
-            cut = merged([(x["start"], x["end"]) for x in own or []])
+        for text, ranges in zip(texts, found):
+            cut = merged([(x["start"], x["end"]) for x in ranges or []])
             at, parts = 0, []
             for a, b in cut:
                 parts.append(text[at:a])
@@ -427,8 +432,8 @@ def _cut(batches: Iterator[pa.RecordBatch], as_text: bool = False) -> Iterator[p
             kept.append(b"".join(parts).decode("utf-8", "ignore") if as_text else b"".join(parts))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [*rest.columns, pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, span), pa.array(kept, pa.string() if as_text else pa.binary())],
-            names=[*rest.schema.names, "n_bytes", "spans", "kept"],
+            [own, pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, span), pa.array(kept, pa.string() if as_text else pa.binary())],
+            names=["own", "n_bytes", "spans", "kept"],
         )
 
 
@@ -458,20 +463,20 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     wanted = spark.sparkContext.broadcast(row_filter(places, "k1"))
     near = let_pass(keyed, wanted, "k1")
     hit = near.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
-    contexts = hit.mapInArrow(_contexts(p, False), "h long, a int, context binary, copies long")
+    both = written(hit.mapInArrow(_contexts(p), CONTEXTS), "repeat-contexts")
     windows = (
-        contexts.repartition(parts, "h").sortWithinPartitions("h")
+        both.where("context is not null").select("h", "a", "context", "copies")
+        .repartition(parts, "h").sortWithinPartitions("h")
         .mapInArrow(_compare(p), "x1 long, x2 long, first long, end long")
     )
-    where = hit.mapInArrow(_contexts(p, True), "k1 long, k2 long, lo long, x1 long, x2 long")
+    where = both.where("lo is not null").select("k1", "k2", "lo", "x1", "x2")
     ranges = (
         where.join(windows, ["x1", "x2"])
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct((F.col("lo") + F.col("first")).alias("start"), (F.col("lo") + F.col("end")).alias("end"))).alias("ranges"))
     )
     own = keyed.schema["own"].dataType.simpleString()
-    none = F.lit(None).cast("array<struct<start: long, end: long>>").alias("ranges")
-    clean = let_pass(keyed, wanted, "k1", keep=False).select("k1", "k2", "text", "own", none)
     schema = f"own {own}, n_bytes long, spans array<struct<start: long, end: long>>, kept {'string' if as_text else 'binary'}"
-    cut = partial(_cut, as_text=as_text)
-    return near.join(ranges, ["k1", "k2"], "left").mapInArrow(cut, schema).unionByName(clean.mapInArrow(cut, schema))
+    cut = near.join(ranges, ["k1", "k2"], "left").select("own", "text", "ranges").mapInArrow(partial(_cut, as_text=as_text), schema)
+    clean = keyed.select("own", "text", filter_bit("k1").alias("bit")).mapInArrow(partial(_cut, as_text=as_text, clean=wanted), schema)
+    return cut.unionByName(clean)
