@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,31 +43,74 @@ class Tokens:
     those of words met before are kept, up to ``most`` words.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most, self.known = most, {}
+        # Byte-level tokens are written with one character a byte.
+        self.size = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.size[i] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _encode_words(self, units: list[str], together: int = 512) -> list[bytes]:
+        """Ids of words that begin with white space, many in one text, parted by their bytes."""
+        groups = [units[a : a + together] for a in range(0, len(units), together)]
+        out: list[bytes] = []
+        for group, ids in zip(groups, self._encode(["".join(g) for g in groups])):
+            until = np.cumsum(self.size[np.frombuffer(ids, "<u4")])
+            ends = np.cumsum([len(u.encode()) for u in group])
+            cut = np.minimum(np.searchsorted(until, ends), until.size - 1)
+            if (until[cut] != ends).any():  # not a byte-level vocabulary
+                out += self._encode(group)
+                continue
+            stops = ((cut + 1) * 4).tolist()
+            out += [ids[a:b] for a, b in zip([0, *stops], stops)]
+        return out
+
+    def _learn(self, units: set[str]) -> None:
+        """Ids of words met for the first time; a mark after a letter or digit has its own."""
+        known = self.known
+        marked = [u for u in units if len(u) > 1 and u[-1] in ".,;:!?" and u[-2].isalnum()]
+        wanted = units.difference(marked)
+        wanted.update(u[:-1] for u in marked)
+        wanted.update(u[-1] for u in marked)
+        wanted = {u for u in wanted if u not in known}
+        spaced = [u for u in wanted if u[0] in " \t\n\x0b\x0c\r" and not u.isspace()]
+        known.update(zip(spaced, self._encode_words(spaced)))
+        other = list(wanted.difference(spaced))
+        known.update(zip(other, self._encode(other)))
+        for u in marked:
+            known[u] = known[u[:-1]] + known[u[-1]]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """In order; texts of about a batch share one call of the library."""
         units = [None if _UNSURE.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
-        known = self.known
-        new = list({u for own in units if own for u in own}.difference(known))
-        known.update(zip(new, self._encode(new)))
-        for text, own in zip(texts, units):
-            yield self._encode([text])[0] if own is None else b"".join([known[u] for u in own])
-        for u in new:
+        find = self.known.get
+        found = [None if own is None else list(map(find, own)) for own in units]
+        holes = [[i for i, x in enumerate(ids) if x is None] if ids and None in ids else [] for ids in found]
+        missing = {own[i] for own, at in zip(units, holes) for i in at}
+        if missing:
+            self._learn(missing)
+        for text, own, ids, at in zip(texts, units, found, holes):
+            if own is None:
+                yield self._encode([text])[0]
+                continue
+            for i in at:
+                ids[i] = self.known[own[i]]
+            yield b"".join(ids)
+        for u in missing:  # long ones would fill the memory
             if len(u) > 64:
-                del known[u]
+                self.known.pop(u, None)
+                self.known.pop(u[:-1], None)
 
 
 @lru_cache(maxsize=1)
