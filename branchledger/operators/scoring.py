@@ -1,69 +1,58 @@
-"""Quintile scores over a whole table without a global sort."""
+"""Exact quantile scores over a whole table without a window in a single task."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DIGITS = 3
+from branchledger.session import shared_folder
 
 
-def leading_digits(c: Column, digits: int = DIGITS) -> Column:
-    """Non-negative whole number rounded down to its leading digits: 123456 -> 123000.
-
-    A 64-bit number has at most 19 digits, so at most 17 * 900 + 100 distinct results.
-    """
-    text = c.cast("string")
-    kept = F.substring(text, 1, digits)
-    return F.rpad(kept, F.length(text), F.lit("0")).cast("bigint")
+def tile_of(rank: Column, rows: Column, bins: int) -> Column:
+    """Tile 1..bins of a row by its rank from 0: the first ``rows % bins`` tiles hold one more."""
+    size, larger = F.floor(rows / bins), rows % bins
+    edge = larger * (size + 1)
+    return F.when(rank < edge, F.floor(rank / (size + 1)) + 1).otherwise(
+        larger + F.floor((rank - edge) / F.greatest(size, F.lit(1))) + 1
+    )
 
 
-def quintile_scores(df: DataFrame, metrics: Mapping[str, str], bins: int = 5) -> DataFrame:
-    """Add ``<metric>_score`` (1..bins) for whole-number ``metrics``.
+def quintile_scores(
+    df: DataFrame, metrics: Mapping[str, str], key: str, bins: int = 5
+) -> DataFrame:
+    """Add ``<metric>_score`` (1..bins, the tiles of ``ntile``) for each metric.
 
-    ``metrics`` maps a column to ``asc`` (large is good) or ``desc`` (small is good).
-    The score of a value is ``1 + bins * (rows ranked below) / rows`` with the value read
-    at three leading digits; equal values share a score. Ranks come from a histogram of
-    bounded size, so the only window runs over a few thousand rows per metric and the
-    join back is to a table of that same bound.
+    ``metrics`` maps a column to ``asc`` (large is good) or ``desc`` (small is good); the
+    unique ``key`` breaks ties, nulls rank lowest. Rows are range-partitioned by (value, key),
+    so even a value that most rows share is spread; the ranges are written, numbered inside
+    and moved by the sizes of the ranges before, one row per range.
     """
-    names = list(metrics)
-    bucketed = df.withColumns(
-        {f"{m}_bucket": leading_digits(F.greatest(F.col(m), F.lit(0))) for m in names}
-    )
-    counts = (
-        bucketed.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(m).alias("metric"),
-                            F.lit(metrics[m]).alias("direction"),
-                            F.col(f"{m}_bucket").alias("bucket"),
-                        )
-                        for m in names
-                    ]
-                )
-            )
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = df
+    for m, direction in metrics.items():
+        first = F.col(m).asc_nulls_first() if direction == "asc" else F.col(m).desc_nulls_last()
+        order = [first, F.col(key).asc()]
+        # Sampled ranges may differ between runs of a plan, so they are fixed in a table.
+        path = f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}"
+        ranges = df.select(key, m).repartitionByRange(parts, *order)
+        ranges.withColumn("part", F.spark_partition_id()).write.parquet(path)
+        ranged = spark.read.schema(f"{ranges.select(key, m).schema.toDDL()}, part int").parquet(path)
+        sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy()
+        offsets = sizes.select(
+            "part",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
+            F.sum("n").over(whole).alias("rows"),
         )
-        .groupBy("metric", "direction", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = F.when(F.col("direction") == "asc", F.col("bucket")).otherwise(-F.col("bucket"))
-    whole = Window.partitionBy("metric")
-    below = whole.orderBy(ranked).rowsBetween(Window.unboundedPreceding, -1)
-    n_below = F.coalesce(F.sum("n").over(below), F.lit(0))
-    n_all = F.sum("n").over(whole)
-    # Whole-number division (the operands are counts).
-    scores = counts.select(
-        "metric", "bucket", (1 + F.floor(F.lit(bins) * n_below / n_all)).alias("score")
-    )
-    out = bucketed
-    for m in names:
-        one = scores.filter(F.col("metric") == m).select(
-            F.col("bucket").alias(f"{m}_bucket"), F.col("score").alias(f"{m}_score")
+        inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+        scored = (
+            ranged.withColumn("inside", inside)
+            .join(offsets, "part")
+            .select(key, tile_of(F.col("inside") + F.col("offset"), F.col("rows"), bins).cast("bigint").alias(f"{m}_score"))
         )
-        # Bounded by the number of buckets (see leading_digits).
-        out = out.join(F.broadcast(one), f"{m}_bucket", "left")
-    return out.drop(*[f"{m}_bucket" for m in names])
+        out = out.join(scored, key, "left")
+    return out

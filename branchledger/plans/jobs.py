@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from branchledger import values as v
 from branchledger.operators.checks import control_totals
 from branchledger.operators.periods import Calendar
+from branchledger.operators.stack import stack
 from branchledger.plans import dims, field_sales, inventory, ledger, targets
 from branchledger.sinks.files import export_files, read_ledger, write_ledger_month
 from branchledger.sinks.tables import build_table, stage_table, staged, upsert_table
 from branchledger.sources import schemas
 from branchledger.sources.naming import report_headers
 from branchledger.sources.reports import (
-    drop_last_columns, missing_offices, read_labelled, read_offices, read_report, read_sheet,
+    TEMP_PREFIX, drop_last_columns, missing_offices, present_files, read_labelled, read_offices, read_report, read_sheet,
 )
 from branchledger.sources.tables import WAREHOUSE_SPECS, StagingSpec, read_spec
 
@@ -136,7 +137,7 @@ def warehouse_job(
             stage_table(rows, spec.table)
             continue
         order = [] if spec.stamp is None or spec.stamp in spec.key else [spec.stamp]
-        upsert_table(spark, spec.table, rows, spec.key, order)
+        upsert_table(spark, spec.table, rows, spec.key, order, log=spec.log)
 
 
 def dimension_job(
@@ -191,13 +192,21 @@ def dimension_job(
 def target_job(spark: SparkSession, folder: str, year: int) -> None:
     """Company and team targets of a year in long form.
 
-    Month columns differ per year, so the matrix takes its header from the files.
+    Month columns differ per year and per team, so each sheet is read with its own header (one
+    small sheet a team; their names come from a listing).
     """
-    company = spark.read.option("header", True).csv(f"{folder}/company")
-    teams = spark.read.option("header", True).csv(f"{folder}/teams")
     names = {"Phòng ban": "dept", "Tên nhân viên": "employee_name"}
-    stage_table(targets.company_targets(report_headers(company, names), year), f"company_targets_{year}")
-    stage_table(targets.employee_targets([report_headers(teams, names)], year), f"employee_targets_{year}")
+
+    def sheets(part: str) -> list[DataFrame]:
+        files = sorted(r.office_file for r in present_files(spark, f"{folder}/{part}").collect())
+        reader = spark.read.option("header", True)
+        return [
+            report_headers(reader.option("pathGlobFilter", file).csv(f"{folder}/{part}"), names)
+            for file in files if not file.startswith(TEMP_PREFIX)
+        ]
+
+    stage_table(targets.company_targets(stack(sheets("company")), year), f"company_targets_{year}")
+    stage_table(targets.employee_targets(sheets("teams"), year), f"employee_targets_{year}")
 
 
 def inventory_job(spark: SparkSession) -> None:

@@ -31,7 +31,7 @@ def rfm_segments(ledger: DataFrame, as_of: date) -> DataFrame:
         "monetary_cents", (F.col("monetary") * 100).cast("bigint")
     )
     scored = quintile_scores(
-        base, {"recency": "desc", "frequency": "asc", "monetary_cents": "asc"}
+        base, {"recency": "desc", "frequency": "asc", "monetary_cents": "asc"}, "customer_code"
     )
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_cents_score")
     return scored.select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -29,13 +27,6 @@ def build_session(app: str = "branchledger", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, if unset one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="branchledger-")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")

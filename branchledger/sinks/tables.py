@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchledger.operators.latest import upsert
+from branchledger.operators.latest import replace_groups, upsert
 from branchledger.sources.naming import report_headers, stage_columns
 
 
@@ -48,8 +48,11 @@ def upsert_table(
     keys: Sequence[str],
     order: Sequence[str],
     schema: str = "stg",
+    log: bool = False,
 ) -> None:
-    """Apply updates to a parquet table that has no MERGE.
+    """Apply updates to a parquet table that has no MERGE; the first load is one as well.
+
+    With ``log`` the updates replace whole groups of ``keys`` and every line is kept.
 
     The result goes to a new table first and replaces the old one by rename. A run that
     died between the drop and the rename is completed by the next run.
@@ -61,10 +64,11 @@ def upsert_table(
 
     if not spark.catalog.tableExists(f"{schema}.{table}"):
         if not spark.catalog.tableExists(f"{schema}.{table}__next"):
-            build_table(updates, table, schema)
-            return
-        swap_in()
-    merged = upsert(spark.table(name), updates, keys, order)
+            build_table(updates.limit(0), table, schema)
+        else:
+            swap_in()
+    existing = spark.table(name)
+    merged = replace_groups(existing, updates, keys) if log else upsert(existing, updates, keys, order)
     build_table(merged, f"{table}__next", schema)
     spark.sql(f"DROP TABLE {name}")
     swap_in()

@@ -1,23 +1,25 @@
 """Report drops (CSV, one file per office or sheet) as DataFrames.
 
-Exports carry title rows above the header and a total row below the data. Their rows
-are found by position inside each file, yet large files are still read in splits: a row
-is placed by (byte offset of its split, running id inside the split), and only the two
-edge positions per file are aggregated.
+Exports carry title rows above the header and a total row below the data. The header is the
+first row of a file that holds every header of the layout, and columns are found in it by name:
+their order, further columns and blank title rows do not matter, a file without such a row fails
+the job. Large files are still read in splits: a row is placed by (byte offset of its split,
+running id inside the split), and only the header and the last position per file are aggregated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StringType
 
 from branchledger.functions.local import config_table
 from branchledger.sources.schemas import Layout
 
 FILE, BLOCK, ROW = "__file", "__block", "__row"
-# Files up to which the per-file edge positions (some 200 bytes each) are broadcast.
-MAX_BROADCAST_FILES = 200_000
+# Cells read of a row; a header that fills them all fails the job.
+CELLS = 64
 TEMP_PREFIX = "~$"
 
 
@@ -36,17 +38,18 @@ def read_report(
     """Data rows of every report under ``path``, or of the file names in ``only``.
 
     ``multiline`` is for exports whose quoted cells hold line breaks; such files are not
-    splittable, so each is read by one task. Title and header rows must lie in the first
-    split of a file.
+    splittable, so each is read by one task. The header must lie in the first split of a file.
+    A cell of a number column that is neither blank nor a number fails the job.
     """
-    reader = spark.read.schema(layout.text_schema).option("multiLine", multiline)
+    names = [f"c{i}" for i in range(CELLS)]
+    reader = spark.read.schema(", ".join(f"{c} string" for c in names)).option("multiLine", multiline)
     if only is not None:
         reader = reader.option("pathGlobFilter", "{" + ",".join(only) + "}")
     raw = (
         reader.option("escape", '"')
         .csv(path)
         .select(
-            "*",
+            F.array(*names).alias("__cells"),
             F.col("_metadata.file_path").alias(FILE),
             _file_name().alias("__name"),
             F.col("_metadata.file_block_start").alias(BLOCK),
@@ -54,23 +57,39 @@ def read_report(
         )
         .filter(~F.col("__name").startswith(TEMP_PREFIX))
     )
-    position = F.struct(BLOCK, ROW)
-    edges = raw.groupBy(FILE).agg(F.min(position).alias("first"), F.max(position).alias("last"))
-    edges = edges.select(
-        F.col(FILE).alias("__edge_file"),
-        (F.col("first")[ROW] + layout.header_row + 1 + layout.skip_first).alias("__from"),
-        F.col("first")[BLOCK].alias("__first_block"),
-        F.col("last").alias("__last"),
+    wanted = list(dict.fromkeys(layout.columns.values()))
+    trimmed = F.transform("__cells", lambda cell: F.trim(cell))
+    found = F.size(F.array_intersect(trimmed, F.array(*[F.lit(h) for h in wanted]))) == len(wanted)
+    edges = raw.groupBy(FILE).agg(
+        F.min(F.when(found, F.struct(BLOCK, ROW, trimmed.alias("cells")))).alias("__header"),
+        F.max(F.struct(BLOCK, ROW)).alias("__last"),
     )
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
-        edges = F.broadcast(edges)
-    placed = raw.join(edges, F.col(FILE) == F.col("__edge_file"))
-    body = placed.filter(
-        (F.col(BLOCK) > F.col("__first_block")) | (F.col(ROW) >= F.col("__from"))
+    placed = raw.join(edges.withColumnRenamed(FILE, "__edge_file"), F.col(FILE) == F.col("__edge_file"))
+    header = F.col("__header")
+    below = (F.col(BLOCK) > header[BLOCK]) | (
+        (F.col(BLOCK) == header[BLOCK]) & (F.col(ROW) > header[ROW] + layout.skip_first)
     )
     if layout.footer:
-        body = body.filter(position < F.col("__last"))
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema]
+        below = below & (F.struct(BLOCK, ROW) < F.col("__last"))
+    missing = F.concat(F.lit("no row with the headers " + ", ".join(wanted) + " in "), F.col(FILE))
+    wide = F.concat(F.lit(f"more than {CELLS - 1} columns in "), F.col(FILE))
+    body = placed.filter(
+        F.when(header.isNull(), F.raise_error(missing))
+        .when(header["cells"][CELLS - 1].isNotNull(), F.raise_error(wide))
+        .otherwise(below)
+    )
+
+    def cell(name: str, kind: DataType) -> Column:
+        at = F.array_position(header["cells"], layout.columns[name]).cast("int") - 1
+        value = F.get("__cells", at)
+        if isinstance(kind, StringType):
+            return value.alias(name)
+        number = value.try_cast(kind)
+        bad = F.concat(F.lit(f"{layout.columns[name]}: no number: "), value)
+        strict = F.when((F.trim(value) != "") & number.isNull(), F.raise_error(bad)).otherwise(number)
+        return strict.alias(name)
+
+    typed = [cell(f.name, f.dataType) for f in layout.schema]
     if file_column:
         typed.append(F.col("__name").alias(file_column))
     return body.select(*typed)
@@ -79,11 +98,8 @@ def read_report(
 def read_sheet(
     spark: SparkSession, path: str | Sequence[str], layout: Layout, file_column: str | None = None
 ) -> DataFrame:
-    """A clean export: header on the first row, no footer."""
-    df = spark.read.schema(layout.schema).option("header", True).option("escape", '"').csv(path)
-    if file_column is None:
-        return df
-    return df.select("*", _file_name().alias(file_column))
+    """A clean export: nothing but the header and data rows, no footer."""
+    return read_report(spark, path, layout._replace(footer=False), file_column)
 
 
 def drop_last_columns(df: DataFrame, n: int) -> DataFrame:

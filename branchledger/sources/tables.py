@@ -11,8 +11,6 @@ from branchledger.sources import schemas
 from branchledger.sources.reports import read_sheet
 from branchledger.sources.schemas import Layout
 
-FEW_FILES = 4
-
 
 class StagingSpec(NamedTuple):
     """An export, the table it feeds and its timestamp column with format."""
@@ -23,6 +21,8 @@ class StagingSpec(NamedTuple):
     stamp: str | None = None
     stamp_fmt: str | None = None
     key: tuple[str, ...] = ()
+    # An event log: a drop replaces all lines of the documents it holds, and keeps every line.
+    log: bool = False
 
 
 WAREHOUSE_SPECS = [
@@ -35,7 +35,7 @@ WAREHOUSE_SPECS = [
     StagingSpec("lading", "lading", schemas.LADING, "created_at", SHORT_STAMP_FMT,
                 ("waybill",)),
     StagingSpec("stock_history", "stock_history", schemas.STOCK_HISTORY, "occurred_at",
-                SHORT_STAMP_FMT, ("ref_code", "product_code", "occurred_at", "movement")),
+                SHORT_STAMP_FMT, ("ref_code",), True),
 ]
 
 
@@ -46,16 +46,5 @@ def read_spec(spark: SparkSession, base: str, spec: StagingSpec) -> DataFrame:
     return df.withColumn(spec.stamp, F.to_timestamp_ntz(F.col(spec.stamp), F.lit(spec.stamp_fmt)))
 
 
-def spread_few_files(df: DataFrame) -> DataFrame:
-    """Spread a table of a handful of files over all cores before per-row work.
-
-    A single row group is read by one task whatever the session's split size. Tables of
-    more files are left alone: their scan is parallel already and a shuffle would cost.
-    """
-    if len(df.inputFiles()) > FEW_FILES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from branchledger.functions.money import cents
 from branchledger.session import shared_folder
@@ -12,7 +12,6 @@ from branchledger.sources import schemas
 from branchledger.sources.reports import read_folder, read_report, read_year
 from branchledger.trial.registry import query
 
-ROWS_PER_REPORT = 250_000
 CSV = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -20,21 +19,25 @@ def drop_folder(df: DataFrame) -> str:
     return f"{shared_folder(df.sparkSession)}/trial-{uuid.uuid4().hex}"
 
 
-def write_reports(df: DataFrame, layout: schemas.Layout) -> str:
-    """Report files with title rows, a header and a total row, about a quarter million rows each.
+def write_reports(
+    df: DataFrame, layout: schemas.Layout, columns: list[str] | None = None, blank: bool = False
+) -> str:
+    """Report files with title rows, a header and a total row, one for each shuffle partition.
 
-    The number of files grows with the table, so no task writes an unbounded file.
+    ``columns``: their order in the files, others being further columns; ``blank``: an empty
+    title row.
     """
     folder = drop_folder(df)
-    n_files = max(4, df.count() // ROWS_PER_REPORT)
-    columns = list(layout.columns)
+    n_files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = columns or list(layout.columns)
+    df = df.withColumns({c: F.lit("x") for c in columns if c not in df.columns})
     body = df.select(
         F.pmod(F.xxhash64("voucher_no", "product_code"), F.lit(n_files)).alias("report"),
         F.lit(layout.header_row + 1).alias("place"),
         F.to_csv(F.struct(*columns), CSV).alias("value"),
     )
-    titles = [f"Báo cáo {i},kỳ" for i in range(layout.header_row)]
-    edges = [*enumerate(titles), (layout.header_row, ",".join(layout.columns.values()))]
+    titles = ["" if blank and i else f"Báo cáo {i},kỳ" for i in range(layout.header_row)]
+    edges = [*enumerate(titles), (layout.header_row, ",".join(layout.columns.get(c, c) for c in columns))]
     if layout.footer:
         edges.append((layout.header_row + 2, "Tổng cộng"))
     frame = df.sparkSession.range(n_files).select(
@@ -55,16 +58,39 @@ def write_reports(df: DataFrame, layout: schemas.Layout) -> str:
 TOTALS = """count(*) AS n_lines, CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE) AS total_payment"""
 
 
-@query("report_ingest", f"SELECT salesperson, {TOTALS} FROM sales_lines GROUP BY salesperson", ("sales_lines",))
-def report_ingest(lines: DataFrame) -> DataFrame:
-    folder = write_reports(lines, schemas.SALES)
+INGEST = f"SELECT salesperson, {TOTALS} FROM sales_lines GROUP BY salesperson"
+
+
+def ingested(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        read_report(lines.sparkSession, f"{folder}/report=*", schemas.SALES)
+        read_report(spark, f"{folder}/report=*", schemas.SALES)
         .groupBy("salesperson")
         .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(cents("total_payment")).alias("total_payment"))
     )
 
 
+@query("report_ingest", INGEST, ("sales_lines",))
+def report_ingest(lines: DataFrame) -> DataFrame:
+    return ingested(lines.sparkSession, write_reports(lines, schemas.SALES))
+
+
+@query("report_reordered_columns", INGEST, ("sales_lines",))
+def report_reordered_columns(lines: DataFrame) -> DataFrame:
+    columns = list(schemas.SALES.columns)[::-1]
+    return ingested(lines.sparkSession, write_reports(lines, schemas.SALES, columns))
+
+
+@query("report_extra_columns", INGEST, ("sales_lines",))
+def report_extra_columns(lines: DataFrame) -> DataFrame:
+    columns = ["extra first", *schemas.SALES.columns, "extra last"]
+    return ingested(lines.sparkSession, write_reports(lines, schemas.SALES, columns))
+
+
+@query("report_blank_title_rows", INGEST, ("sales_lines",))
+def report_blank_title_rows(lines: DataFrame) -> DataFrame:
+    return ingested(lines.sparkSession, write_reports(lines, schemas.SALES, blank=True))
+
+
 def write_months(lines: DataFrame) -> str:
     """Clean CSV exports in one folder per posting month."""
     folder = drop_folder(lines)
@@ -72,7 +98,7 @@ def write_months(lines: DataFrame) -> str:
     run = F.concat(F.lit("T"), F.substring(day, 4, 2).cast("int"), F.lit("_"), F.substring(day, 7, 4))
     # Rows of a month are spread over tasks; each task writes one file per month it holds.
     (
-        lines.select(*schemas.SALES.columns, run.alias("run"))
+        lines.select(*[F.col(c).alias(h) for c, h in schemas.SALES.columns.items()], run.alias("run"))
         .write.partitionBy("run")
         .options(header=True, **CSV)
         .csv(folder)
@@ -94,7 +120,8 @@ def year_glob_scan(lines: DataFrame) -> DataFrame:
        ("customers",))
 def folder_scan(customers: DataFrame) -> DataFrame:
     folder = drop_folder(customers)
-    customers.select(*schemas.FIELD_CUSTOMERS.columns).write.options(header=True, **CSV).csv(folder)
+    headers = [F.col(c).alias(h) for c, h in schemas.FIELD_CUSTOMERS.columns.items()]
+    customers.select(headers).write.options(header=True, **CSV).csv(folder)
     rows = read_folder(customers.sparkSession, folder, schemas.FIELD_CUSTOMERS, ["customer_kind"])
     return rows.groupBy("customer_kind").agg(
         F.count(F.lit(1)).alias("n_rows"),

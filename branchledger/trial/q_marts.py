@@ -18,15 +18,10 @@ DEC = "CAST({0} AS DECIMAL(18,2))"
 AS_OF = date(2001, 12, 31)
 
 
-def leading(x: str) -> str:
-    """Three leading digits of a non-negative whole number."""
-    digits = f"length(CAST(greatest({x}, 0) AS VARCHAR))"
-    return f"(CASE WHEN {digits} <= 3 THEN greatest({x}, 0) ELSE CAST(greatest({x}, 0) // CAST(power(10, {digits} - 3) AS BIGINT) * CAST(power(10, {digits} - 3) AS BIGINT) AS BIGINT) END)"
-
-
 def score(x: str, order: str) -> str:
-    """Share of rows ranked strictly below, in fifths."""
-    return f"CAST(1 + floor(5.0 * (rank() OVER (ORDER BY {leading(x)} {order}) - 1) / count(*) OVER ()) AS BIGINT)"
+    """Fifths with the customer code as tie-break."""
+    nulls = "NULLS FIRST" if order == "ASC" else "NULLS LAST"
+    return f"ntile(5) OVER (ORDER BY {x} {order} {nulls}, customer_code)"
 
 
 query("rfm_segments", f"""{HEAD},

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from branchledger.operators import checks
 from branchledger.operators.consolidate import Platform, consolidate
-from branchledger.operators.latest import latest_per_key, upsert
+from branchledger.operators.latest import latest_per_key, replace_groups, upsert
 from branchledger.operators.lookup import any_of_names, drop_codes, duplicate_keys, lookup_join
 from branchledger.operators.margins import counts_by_case_with_total, counts_with_total
-from branchledger.operators.scoring import leading_digits, quintile_scores
+from branchledger.operators.scoring import quintile_scores
 from branchledger.operators.skew import hot_keys, rows_per_key, salted_left_joins, spread_nulls
 from branchledger.operators.stack import aligned_sums, stack, stack_tagged
 
@@ -88,28 +88,37 @@ def test_latest_and_upsert(frame, rows):
     assert rows(latest_per_key(old.limit(0), ["k"], ["t"])) == []
 
 
-def test_leading_digits(values):
-    assert values(leading_digits, [0, 7, 999, 1000, 123456, 9223372036854775807], "bigint") == [
-        0, 7, 999, 1000, 123000, 9220000000000000000,
-    ]
-
-
-def test_quintiles_against_brute_force(spark):
+def test_quintiles_are_exact_tiles(spark):
     rng = random.Random(3)
-    data = [(i, rng.choice([rng.randint(0, 50), rng.randint(0, 10**6)]), rng.randint(0, 9)) for i in range(500)]
+    data = [(i, rng.choice([7, None, rng.randint(-50, 50), 123000 + rng.randint(0, 999)]), rng.randint(0, 9)) for i in range(503)]
     df = spark.createDataFrame(data, "id int, m bigint, r bigint")
-    got = quintile_scores(df, {"m": "asc", "r": "desc"}).collect()
-
-    def bucket(n):
-        s = str(n)
-        return int(s[:3].ljust(len(s), "0"))
-
-    ms = [bucket(m) for _, m, _ in data]
-    for row in got:
-        below = sum(x < bucket(row.m) for x in ms)
-        above = sum(r > row.r for _, _, r in data)
-        assert row.m_score == 1 + 5 * below // 500
-        assert row.r_score == 1 + 5 * above // 500
+    got = {x.id: (x.m_score, x.r_score) for x in quintile_scores(df, {"m": "asc", "r": "desc"}, "id").collect()}
+
+    def tiles(ordered):
+        sizes = [503 // 5 + (i < 503 % 5) for i in range(5)]
+        return dict(zip(ordered, [t + 1 for t, n in enumerate(sizes) for _ in range(n)]))
+
+    by_m = tiles([i for i, *_ in sorted(data, key=lambda x: (x[1] is not None, x[1] or 0, x[0]))])
+    by_r = tiles([i for i, *_ in sorted(data, key=lambda x: (-x[2], x[0]))])
+    assert got == {i: (by_m[i], by_r[i]) for i, *_ in data}
+
+
+def test_upsert_keeps_rows_without_a_key_and_may_be_rerun(frame, rows):
+    schema = "k string, t int, x string"
+    old = frame(schema, ("a", 1, "old"), (None, 1, "p"), (None, 2, "q"))
+    new = frame(schema, ("a", 2, "new"), ("a", 1, "older"), (None, 2, "q"), (None, 2, "q"), (None, 3, "r"))
+    once = upsert(old, new, ["k"], ["t"])
+    want = [("a", 2, "new"), (None, 1, "p"), (None, 2, "q"), (None, 2, "q"), (None, 3, "r")]
+    assert rows(once) == sorted(want, key=repr) == rows(upsert(once, new, ["k"], ["t"]))
+
+
+def test_replace_groups_keeps_every_line(frame, rows):
+    schema = "doc string, qty int"
+    old = frame(schema, ("d1", 1), ("d1", 1), ("d2", 5), (None, 9))
+    new = frame(schema, ("d1", 3), ("d1", 3), (None, 9), (None, 4))
+    once = replace_groups(old, new, ["doc"])
+    want = [("d1", 3), ("d1", 3), ("d2", 5), (None, 9), (None, 4)]
+    assert rows(once) == sorted(want, key=repr) == rows(replace_groups(once, new, ["doc"]))
 
 
 @pytest.mark.parametrize("hot_rows", [20, 10**6])
