@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,11 +78,11 @@ def let_pass(df: DataFrame, filter_: Broadcast, *columns: str, keep: bool = True
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1024):
             passed = passing(filter_.value, batch.column(batch.num_columns - 1).to_numpy())
             yield batch.select(batch.schema.names[:-1]).filter(pa.array(passed == keep))
 
-    return df.select("*", filter_bit(*columns).alias("filter_bit")).mapInArrow(run, own)
+    return df.select("*", filter_bit(*columns).alias("filter_bit")).mapInArrow(releasing(run), own)
 
 
 def remainder(column: str, modulus: int) -> Column:
@@ -93,6 +95,21 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def releasing(run: Callable) -> Callable:
+    """A batch function that gives its memory back when its task ends: Python workers live on."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return wrapped
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that Python copies of few texts exist at a time."""
     for batch in batches:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, components, filter_bit, grouped, let_pass, passing, row_filter, written
+from branchledger.llm.common import as_bytes, components, filter_bit, grouped, let_pass, passing, releasing, row_filter, written
 from branchledger.llm.hashing import chunks, mix, shingle_sets
 
 
@@ -106,7 +106,7 @@ def _apart(a: bytes, b: bytes) -> int:
 SCAN = "kind string, id long, n int, sid long, payload binary"
 
 
-def _scan(p: Join, id_type: str):
+def _scan(p: Join):
     """Per text its set's size, digest and bitmap; per task the counts of its shingles."""
     span = 4096
 
@@ -432,7 +432,7 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     """Per row of ``docs``: id, n_shingles, component_id (smallest linked id), n_links (rows linked to)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scanned = written(texts.mapInArrow(_scan(p, "long"), SCAN), "ngram-scan")
+    scanned = written(texts.mapInArrow(releasing(_scan(p)), SCAN), "ngram-scan")
     rows = scanned.where("kind = 'doc'").select("id", "n", "sid", "payload")
 
     sketch = _sketch(scanned, p)
@@ -442,7 +442,7 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     light = boundary(small, float(np.mean(2.0 ** (rare / 8.0) - 1)), p)
 
     ranks = spark.sparkContext.broadcast(sketch)
-    keys = texts.select("text").mapInArrow(_keys(p, light, ranks), "key long, sid long, place long")
+    keys = texts.select("text").mapInArrow(releasing(_keys(p, light, ranks)), "key long, sid long, place long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = written(
         keys.repartition(parts, "key").sortWithinPartitions("key", "sid")
@@ -467,12 +467,12 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     ranged = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(own, x) one, greatest(own, x) two))")
     # Sets of the members' first documents; others that slip through the filter fall to the join.
     wanted = spark.sparkContext.broadcast(row_filter(members, "first"))
-    found = texts.select(filter_bit("id").alias("bit"), "text").mapInArrow(_sets(p, wanted), "sid long, tokens binary")
+    found = texts.select(filter_bit("id").alias("bit"), "text").mapInArrow(releasing(_sets(p, wanted)), "sid long, tokens binary")
     tokens = found.join(members, "sid")
     units = tokens.withColumn("unit", F.explode(ranged)).select("grp", "unit.one", "unit.two", "sid", "copies", "own", "tokens")
     linked = written(
         units.repartition(parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two")
-        .mapInArrow(_verify(p), "a long, b long, links long"),
+        .mapInArrow(releasing(_verify(p)), "a long, b long, links long"),
         "ngram-links",
     )
     roots = components(linked.where("b is not null").select("a", "b"), "ngram-roots")

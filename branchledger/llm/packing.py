@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import written
+from branchledger.llm.common import releasing, written
 
 #: White space that libraries disagree about; texts that hold any are tokenised in one go.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -43,7 +43,7 @@ class Tokens:
     those of words met before are kept, up to ``most`` words.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -144,12 +144,15 @@ def piece_table(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in batches:
-            columns = list(zip(*rows(batch))) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                columns = list(zip(*rows(batch))) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            _tokens.cache_clear()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, piece int, start long, length long, ids_crc32 long"
+        releasing(run), "id long, piece int, start long, length long, ids_crc32 long"
     )
 
 

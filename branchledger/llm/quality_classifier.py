@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes
+from branchledger.llm.common import as_bytes, releasing
 
 
 @dataclass(frozen=True)
@@ -162,4 +162,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, score_col])
 
     own = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema.fields)
-    return docs.mapInArrow(run, f"{own}, `{score_col}` double")
+    return docs.mapInArrow(releasing(run), f"{own}, `{score_col}` double")

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, filter_bit, grouped, let_pass, passing, row_filter, sliced, written
+from branchledger.llm.common import as_bytes, filter_bit, grouped, let_pass, passing, releasing, row_filter, sliced, written
 from branchledger.llm.hashing import mix
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -453,7 +453,7 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     keyed = base.select(
         F.xxhash64("own", "text").alias("k1"), F.xxhash64("text", "own", F.lit(1)).alias("k2"), "text", "own"
     )
-    found = keyed.select("k1", "k2", "text").mapInArrow(_find_anchors(p), "h long, k1 long, k2 long, lo long, a short, w short")
+    found = keyed.select("k1", "k2", "text").mapInArrow(releasing(_find_anchors(p)), "h long, k1 long, k2 long, lo long, a short, w short")
     places = written(
         found.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_repeated_anchors, found.schema),
         "repeat-anchors",
@@ -463,11 +463,11 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     wanted = spark.sparkContext.broadcast(row_filter(places, "k1"))
     near = let_pass(keyed, wanted, "k1")
     hit = near.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
-    both = written(hit.mapInArrow(_contexts(p), CONTEXTS), "repeat-contexts")
+    both = written(hit.mapInArrow(releasing(_contexts(p)), CONTEXTS), "repeat-contexts")
     windows = (
         both.where("context is not null").select("h", "a", "context", "copies")
         .repartition(parts, "h").sortWithinPartitions("h")
-        .mapInArrow(_compare(p), "x1 long, x2 long, first long, end long")
+        .mapInArrow(releasing(_compare(p)), "x1 long, x2 long, first long, end long")
     )
     where = both.where("lo is not null").select("k1", "k2", "lo", "x1", "x2")
     ranges = (
@@ -477,6 +477,6 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     )
     own = keyed.schema["own"].dataType.simpleString()
     schema = f"own {own}, n_bytes long, spans array<struct<start: long, end: long>>, kept {'string' if as_text else 'binary'}"
-    cut = near.join(ranges, ["k1", "k2"], "left").select("own", "text", "ranges").mapInArrow(partial(_cut, as_text=as_text), schema)
-    clean = keyed.select("own", "text", filter_bit("k1").alias("bit")).mapInArrow(partial(_cut, as_text=as_text, clean=wanted), schema)
+    cut = near.join(ranges, ["k1", "k2"], "left").select("own", "text", "ranges").mapInArrow(releasing(partial(_cut, as_text=as_text)), schema)
+    clean = keyed.select("own", "text", filter_bit("k1").alias("bit")).mapInArrow(releasing(partial(_cut, as_text=as_text, clean=wanted)), schema)
     return cut.unionByName(clean)
