@@ -183,10 +183,13 @@ def train(docs: DataFrame, learn: Column, k: Kernel = Kernel(), id_col: str = "d
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= k.longest))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one a language
+    if not counts:
+        return fit([], [], k)
+    size = F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col("lang"))
     # A share of each language that leaves about twice its sample, then the first by hash.
     place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) / F.lit(1 << 30)
-    few = rows.join(counts, "lang").where(place * F.col("n") < 2 * k.sample).withColumn("place", place)
+    few = rows.where(place * size < 2 * k.sample).withColumn("place", place)
     taken: dict[str, list] = {}
     for r in few.select("lang", "place", "id", "text").orderBy("lang", "place", "id", "text").toLocalIterator():
         own = taken.setdefault(r.lang, [])
