@@ -17,8 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch that goes to Python. Spark's own bound, 64 MB, is held on both sides.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a context, through Spark's own file service."""
+    """Send this package to the executors, once a context, through Spark's own file service.
+
+    Batches get a bound for texts, unless the session has set its own.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_package_sent", None) is None:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
