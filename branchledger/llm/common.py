@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 
 #: Bytes of an Arrow batch that goes to Python. Spark's own bound, 64 MB, is held on both sides.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "1m"
 
 
 def ship(spark: SparkSession) -> None:

@@ -116,16 +116,16 @@ def _scan(p: Join):
 
         def settle() -> None:
             if held:
-                at = np.concatenate(held) >> np.uint64(64 - (p.counters - 1).bit_length())
-                counts[:] += np.bincount(at.astype(np.int64), minlength=p.counters).astype(np.uint32)
+                at = (np.concatenate(held) >> np.uint64(64 - (p.counters - 1).bit_length())).view(np.int64)
                 held.clear()
+                np.add(counts, np.bincount(at, minlength=p.counters), out=counts, casting="unsafe")
 
         for batch in batches:
             ids, texts = batch.column(0), as_bytes(batch.column(1))
             for first, part in chunks(texts):
                 sets = shingle_sets(part, p.words)
                 held.extend(sets)
-                if sum(map(len, held)) > 2_000_000:
+                if sum(map(len, held)) > 1_000_000:
                     settle()
                 yield _rows(
                     ["doc"] * len(sets),
