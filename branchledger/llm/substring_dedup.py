@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, filter_bit, grouped, let_pass, passing, releasing, row_filter, sliced, written
+from branchledger.llm.common import as_bytes, filter_bit, let_pass, passing, releasing, row_filter, sliced, written
 from branchledger.llm.hashing import mix
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -386,22 +386,30 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _compare(p: Repeats):
+    """From rows sorted by anchor, the repeated windows of its contexts. Holds each of them once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for table in grouped(batches, ["h"]):
-            h = table.column("h")[0].as_py()
-            count: dict[tuple[int, bytes], int] = {}
-            for a, c, n in zip(table.column("a").to_pylist(), table.column("context").to_pylist(), table.column("copies").to_pylist()):
-                count[a, c] = count.get((a, c), 0) + n
-            if len(count) == 1 and sum(count.values()) == 1:
-                continue
+        anchor, count = None, {}
+
+        def close() -> None:
+            if sum(count.values()) < 2:
+                return
             contexts = list(count)
             for (a, c), windows in zip(contexts, repeated_windows(contexts, list(count.values()), p)):
                 for first, end in merged([(x, y + p.length) for x, y in windows]):
-                    rows.append((*_digest(h, a, c), first, end))
+                    rows.append((*_digest(anchor, a, c), first, end))
+
+        for batch in batches:
+            for h, a, c, n in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if h != anchor:
+                    close()
+                    anchor, count = h, {}
+                count[a, c] = count.get((a, c), 0) + n
             if len(rows) >= 20_000:
                 yield _ranges(rows)
-                rows = []
+                rows.clear()
+        close()
         yield _ranges(rows)
 
     return run
