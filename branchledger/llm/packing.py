@@ -94,19 +94,12 @@ class Tokens:
         units = [None if _UNSURE.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
-        find = self.known.get
-        found = [None if own is None else list(map(find, own)) for own in units]
-        holes = [[i for i, x in enumerate(ids) if x is None] if ids and None in ids else [] for ids in found]
-        missing = {own[i] for own, at in zip(units, holes) for i in at}
+        missing = set().union(*(own for own in units if own)).difference(self.known)
         if missing:
             self._learn(missing)
-        for text, own, ids, at in zip(texts, units, found, holes):
-            if own is None:
-                yield self._encode([text])[0]
-                continue
-            for i in at:
-                ids[i] = self.known[own[i]]
-            yield b"".join(ids)
+        find = self.known.__getitem__
+        for text, own in zip(texts, units):
+            yield self._encode([text])[0] if own is None else b"".join(map(find, own))
         for u in missing:  # long ones would fill the memory
             if len(u) > 64:
                 self.known.pop(u, None)
