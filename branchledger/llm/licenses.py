@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,14 @@ def _features(hashed: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([hashed, both]), np.concatenate([np.arange(hashed.size), pair])
 
 
+class Words(NamedTuple):
+    """Of each word its hash, the number of its text and of its line there."""
+
+    hashed: np.ndarray
+    text: np.ndarray
+    line: np.ndarray
+
+
 @dataclass
 class Model:
     scan: Scan
@@ -145,17 +154,22 @@ class Model:
     temperature: float
     limit: float
 
-    def logits(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of passages with any weighted n-gram: line, first and last byte, probabilities; line starts."""
-        text = [plain(x) for x in lines]
-        hashed, _, start, end, data = words(text, lower=True)
+    def passages(self, texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' words; of passages with any weighted n-gram first word, end, probabilities."""
+        text = [plain(x) for x in texts]
+        hashed, of, start, _, data = words(text, lower=True)
+        before = np.cumsum(data == 10)
+        begins = np.cumsum([0] + [len(t) + 1 for t in text[:-1]])
+        line = before[start] - np.append(0, before)[begins][of]
+        apart = of[1:] != of[:-1]
+        w = Words(hashed, of, line)
+        unit = np.cumsum(np.append(0, apart | (line[1:] != line[:-1])))[: hashed.size]
+        return w, *self._probabilities(hashed, unit)
+
+    def _probabilities(self, hashed: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, end and class probabilities of the passages of each line."""
         if not hashed.size:
-            return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros((0, self.bias.size)), np.zeros(0, int)
-        begins = np.cumsum([0] + [len(t) + 1 for t in text])
-        breaks = np.zeros(data.size, bool)
-        breaks[data == 10] = True
-        breaks[begins[1:] - 1] = True
-        line = np.cumsum(breaks)[start]
+            return np.zeros(0, int), np.zeros(0, int), np.zeros((0, self.bias.size))
         first = np.searchsorted(line, line)  # the line's first word
         gram, at = _features(hashed, line)
         place = np.minimum(np.searchsorted(self.grams, gram), self.grams.size - 1)
@@ -181,52 +195,102 @@ class Model:
         n = 2 * (stop - begin) - 1
         p = (total / np.sqrt(n)[:, None] + self.bias) / self.temperature
         p = np.exp(p - p.max(axis=1, keepdims=True))
-        return line[begin], start[begin], end[stop - 1], p / p.sum(axis=1, keepdims=True), begins
+        return begin, stop, p / p.sum(axis=1, keepdims=True)
 
     def scan_texts(self, texts: list[bytes]) -> list[dict]:
         """Of each text: families, lines that confirm one, unconfirmed passages, best probability."""
         out = [{"families": set(), "lines": [], "unconfirmed": 0, "score": 0.0, "paragraphs": 0} for _ in texts]
         for row, text in zip(out, texts):
             row["paragraphs"] = sum(1 for x in text.split(b"\n") if x.strip())
-        line, a, b, p, begins = self.logits(texts)
-        if not line.size:
-            return out
-        joined = b" ".join(texts)
-        best = p[:, :-1].argmax(axis=1)
+        w, first, stop, p = self.passages(texts)
+        passed: dict[int, list[int]] = {}
         for i in np.flatnonzero(1 - p[:, -1] >= self.limit).tolist():
-            text = int(np.searchsorted(begins, a[i], side="right") - 1)
-            row, passage = out[text], joined[a[i] : b[i]].decode("utf-8", "replace")
-            family = self.families[best[i]]
-            if confirmed(passage, family, self.scan.confirmed):
-                row["families"].add(family)
-                row["score"] = max(row["score"], float(p[i, best[i]]))
-                number = joined.count(b"\n", int(begins[text]), int(a[i]))
-                if number not in row["lines"]:
-                    row["lines"].append(number)
-            else:
-                row["unconfirmed"] += 1
+            passed.setdefault(int(w.text[first[i]]), []).append(i)
+        for text, own in passed.items():
+            row, sure = out[text], set()
+            found = [m for i in own for m in matches(w.hashed[first[i] : stop[i]].tolist(), int(first[i]), i, self.scan.confirmed)]
+            for m in decided(found):
+                row["families"].add(m.family)
+                row["score"] = max(row["score"], float(p[m.passage, self.families.index(m.family)]))
+                sure |= m.words
+            row["lines"] = np.unique(w.line[sorted(sure)]).tolist() if sure else []
+            row["unconfirmed"] = sum(sure.isdisjoint(range(first[i], stop[i])) for i in own)
         return out
 
 
-_TEMPLATE_GRAMS: dict[str, list[set]] = {}
+class Match(NamedTuple):
+    """A template found in a passage: its 3-grams there, their share, the words they cover."""
 
+    family: str
+    agree: tuple[int, float]
+    words: frozenset[int]
+    passage: int
 
-def confirmed(passage: str, family: str, least: float) -> bool:
-    """Whether a passage and one of the family's templates share enough 3-grams.
 
-    The family whose template agrees best must be the predicted one.
-    """
-    if not _TEMPLATE_GRAMS:
-        _TEMPLATE_GRAMS.update({f: [grams(tokens(t), 3) for t in own] for f, own in TEMPLATES.items()})
-    own = grams(tokens(passage), 3)
-    if not own:
-        return False
+#: Of each template the family and the number of its 3-grams; of each 3-gram its (template, place).
+_NOTICES: list[tuple[str, int]] = []
+_PLACES: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+
+
+def _index() -> None:
+    for family, own in TEMPLATES.items():
+        for template in own:
+            hashed = words([plain(template.encode())], lower=True)[0].tolist()
+            known: set = set()
+            for k in range(len(hashed) - 2):
+                gram = tuple(hashed[k : k + 3])
+                if gram not in known:
+                    known.add(gram)
+                    _PLACES.setdefault(gram, []).append((len(_NOTICES), k))
+            _NOTICES.append((family, len(known)))
+
+
+def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of (place, place in the template) that rises in both, its steps short."""
+    length, before = [1] * len(pairs), [-1] * len(pairs)
+    for j, (x, k) in enumerate(pairs):
+        for i in range(j - 1, -1, -1):
+            if pairs[i][0] < x and pairs[i][1] < k and length[i] >= length[j]:
+                length[j], before[j] = length[i] + 1, i
+    j = max(range(len(pairs)), key=length.__getitem__)
+    out = []
+    while j >= 0:
+        out.append(pairs[j])
+        j = before[j]
+    return out
+
 
-    def share(name: str) -> tuple[float, int]:
-        return max((len(own & t) / min(len(own), len(t)), len(own & t)) for t in _TEMPLATE_GRAMS[name] if t)
+def matches(hashed: list[int], first: int, passage: int, least: float) -> Iterator[Match]:
+    """Every place of a passage where it shares enough 3-grams with a template, of any family.
 
-    mine = share(family)
-    return mine[0] >= least and all(share(f) <= mine for f in TEMPLATES)
+    ``first`` is the number of the passage's first word.
+    """
+    if not _NOTICES:
+        _index()
+    own, found = set(), {}
+    for x in range(len(hashed) - 2):
+        gram = tuple(hashed[x : x + 3])
+        own.add(gram)
+        for template, k in _PLACES.get(gram, ()):
+            found.setdefault(template, []).append((x, k))
+    for template, pairs in found.items():
+        family, size = _NOTICES[template]
+        size = min(size, len(own))
+        while (common := len({k for _, k in pairs})) >= least * size:
+            run = _in_order(pairs)
+            yield Match(family, (len(run), common / size), frozenset(first + x + d for x, _ in run for d in range(3)), passage)
+            pairs = [pair for pair in pairs if pair not in set(run)]
+            if not pairs:
+                break
+
+
+def decided(found: list[Match]) -> list[Match]:
+    """The matches that tell their family: no other family's agrees as well on all their words."""
+    at: dict[int, list[Match]] = {}
+    for m in found:
+        for x in m.words:
+            at.setdefault(x, []).append(m)
+    return [m for m in found if not any(o.family != m.family and o.agree >= m.agree and o.words >= m.words for o in at[min(m.words)])]
 
 
 def examples(s: Scan) -> list[tuple[str, str]]:

@@ -230,6 +230,19 @@ def test_licence_templates_are_recognised():
             assert family in model.scan_texts([f"# {template}.".encode()])[0]["families"]
 
 
+def test_licences_two_notices_in_a_line():
+    model = licenses.fit([], licenses.Scan())
+    two = [
+        (b"Released under the MIT License. Licensed under the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        (b"Licensed under the BSD 2-Clause License. Licensed under the BSD 3-Clause License.", {"BSD-2-Clause", "BSD-3-Clause"}),
+        (" ".join(licenses.TEMPLATES["AGPL-3.0"][:1] + licenses.TEMPLATES["GPL-2.0"][1:]).encode(), {"AGPL-3.0", "GPL-2.0"}),
+    ]
+    for (text, families), row in zip(two, model.scan_texts([t for t, _ in two])):
+        assert (row["families"], row["lines"], row["unconfirmed"]) == (families, [0], 0), text
+    every = [t for own in licenses.TEMPLATES.values() for t in own]
+    assert model.scan_texts([". ".join(every).encode()])[0]["families"] == set(licenses.TEMPLATES)
+
+
 def test_empty_tables(empty):
     assert packing.packed(empty, TOKENS).collect() == [] and quality_rules.quality_rules(empty).collect() == []
     assert bpe.decode(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).collect() == []
