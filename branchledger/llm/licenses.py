@@ -1,19 +1,25 @@
 """Licence scan: a trained classifier of passages, confirmed by comparison with templates.
 
-Each line of a text is a paragraph; a long one is read in overlapping passages of ``passage`` words.
+A paragraph is a run of lines that hold words. Each of its lines and, if it has several, the paragraph
+as a whole are read in overlapping passages of ``passage`` words, so that neither a wrapped notice
+nor one among other lines is missed. Marks that begin comment lines are blanked out.
 Sparse word 1- and 2-grams go through a multinomial logistic regression with a class for each
 licence family and one for everything else. Its probabilities are calibrated on examples held out
 of the fit, by a temperature and by a limit for the unknown class that at most ``false_share`` of
-the corpus examples pass. A predicted family counts if the passage shares enough word 3-grams
-with one of the family's templates; otherwise the passage is reported as unconfirmed.
+the corpus examples pass. A passage that the model takes for a licence is compared with the
+templates of every family. A family counts where the passage shares enough word 3-grams with one of
+its templates, unless another family's template agrees as well or better on the same words; so one
+passage may declare several families, and words common to several decide for none, unless a passage
+with more of the notice does. A passage that holds no word of a family that counts is reported as
+unconfirmed, a line's passage only if none of its paragraph's is that holds it.
 
 The examples are made from the templates (cut, with words dropped, with other text around them),
 and, for the unknown class, taken from lines of a bounded sample of the corpus that share no
 3-gram with a template. Scanning reads every text whole and needs no shuffle.
 
 Defined cases: null and empty text hold no paragraph and no licence; a text of any length is
-scanned whole; a family found more than once is listed once, families in alphabetical order, lines
-as often as they occur; repeated rows give repeated results; ids may be null; an empty table
+scanned whole; a family found more than once is listed once, families in alphabetical order; lines
+are all those that hold words of a notice; ``n_paragraphs`` counts the lines that are not blank; repeated rows give repeated results; ids may be null; an empty table
 gives an empty result, the model is then fitted on the templates alone; other columns are not read.
 """
 
@@ -97,6 +103,8 @@ UNKNOWN = "unknown"
 #: Bytes that separate words besides white space; dots only at a word's end.
 _MARKS = bytes.maketrans(b",;:()[]{}\"'<>!?", b" " * 15)
 _DOT = re.compile(rb"\.(?=\s|$)")
+#: What begins a line of a comment or a quotation.
+_COMMENT = re.compile(rb"^[ \t]*(?:#+|//+|/?\*+/?|--+|>+|%+)(?=\s|$)", re.M)
 
 
 @dataclass(frozen=True)
@@ -117,7 +125,8 @@ class Scan:
 
 
 def plain(text: bytes) -> bytes:
-    """Same length, with the marks that may stand beside a word blanked out."""
+    """Same length, with the marks that may stand beside a word or begin a line blanked out."""
+    text = _COMMENT.sub(lambda m: b" " * len(m[0]), text)
     return _DOT.sub(b" ", text.translate(_MARKS))
 
 
@@ -154,17 +163,24 @@ class Model:
     temperature: float
     limit: float
 
-    def passages(self, texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-        """The texts' words; of passages with any weighted n-gram first word, end, probabilities."""
+    def passages(self, texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' words; of passages with any weighted n-gram first word, end, probabilities.
+
+        Last, whether a passage is one of a paragraph of several lines.
+        """
         text = [plain(x) for x in texts]
         hashed, of, start, _, data = words(text, lower=True)
         before = np.cumsum(data == 10)
         begins = np.cumsum([0] + [len(t) + 1 for t in text[:-1]])
         line = before[start] - np.append(0, before)[begins][of]
-        apart = of[1:] != of[:-1]
-        w = Words(hashed, of, line)
-        unit = np.cumsum(np.append(0, apart | (line[1:] != line[:-1])))[: hashed.size]
-        return w, *self._probabilities(hashed, unit)
+        apart, below = of[1:] != of[:-1], np.diff(line)
+        own = np.cumsum(np.append(0, apart | (below != 0)))[: hashed.size]
+        block = np.cumsum(np.append(0, apart | (below > 1)))[: hashed.size]
+        # Paragraphs of a single line are read already.
+        several = np.flatnonzero(own[np.searchsorted(block, block)] != own[np.searchsorted(block, block, side="right") - 1])
+        lines, blocks = self._probabilities(hashed, own), self._probabilities(hashed[several], block[several])
+        blocks = several[blocks[0]], several[blocks[1] - 1] + 1, blocks[2]
+        return Words(hashed, of, line), *(np.concatenate(x) for x in zip(lines, blocks)), np.arange(lines[0].size + blocks[0].size) >= lines[0].size
 
     def _probabilities(self, hashed: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word, end and class probabilities of the passages of each line."""
@@ -202,7 +218,7 @@ class Model:
         out = [{"families": set(), "lines": [], "unconfirmed": 0, "score": 0.0, "paragraphs": 0} for _ in texts]
         for row, text in zip(out, texts):
             row["paragraphs"] = sum(1 for x in text.split(b"\n") if x.strip())
-        w, first, stop, p = self.passages(texts)
+        w, first, stop, p, whole = self.passages(texts)
         passed: dict[int, list[int]] = {}
         for i in np.flatnonzero(1 - p[:, -1] >= self.limit).tolist():
             passed.setdefault(int(w.text[first[i]]), []).append(i)
@@ -214,7 +230,13 @@ class Model:
                 row["score"] = max(row["score"], float(p[m.passage, self.families.index(m.family)]))
                 sure |= m.words
             row["lines"] = np.unique(w.line[sorted(sure)]).tolist() if sure else []
-            row["unconfirmed"] = sum(sure.isdisjoint(range(first[i], stop[i])) for i in own)
+            left = [i for i in own if sure.isdisjoint(range(first[i], stop[i]))]
+            row["unconfirmed"] = len(left)
+            blocks = [i for i in left if whole[i]]
+            begins = first[blocks]
+            for i in left if blocks else []:
+                at = int(np.searchsorted(begins, first[i], side="right"))
+                row["unconfirmed"] -= not whole[i] and any(stop[k] >= stop[i] for k in blocks[max(0, at - 2) : at])
         return out
 
 
@@ -279,7 +301,7 @@ def matches(hashed: list[int], first: int, passage: int, least: float) -> Iterat
         while (common := len({k for _, k in pairs})) >= least * size:
             run = _in_order(pairs)
             yield Match(family, (len(run), common / size), frozenset(first + x + d for x, _ in run for d in range(3)), passage)
-            pairs = [pair for pair in pairs if pair not in set(run)]
+            pairs = sorted(set(pairs).difference(run))
             if not pairs:
                 break
 
@@ -370,7 +392,10 @@ def train(docs: DataFrame, s: Scan = Scan(), id_col: str = "doc_id", text_col: s
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n_paragraphs, licences, licence_lines (from 0), n_unconfirmed, score."""
+    """Per row of ``docs``: id, n_paragraphs, licences, licence_lines (from 0), n_unconfirmed, score.
+
+    The score is the highest probability of a family in a passage that confirms it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -243,6 +243,27 @@ def test_licences_two_notices_in_a_line():
     assert model.scan_texts([". ".join(every).encode()])[0]["families"] == set(licenses.TEMPLATES)
 
 
+def test_licences_wrapped_over_lines():
+    import textwrap
+
+    model = licenses.fit([], licenses.Scan())
+    for family, own in licenses.TEMPLATES.items():
+        for template in own:
+            for width, mark in ((72, ""), (30, "# "), (40, " * "), (50, "// ")):
+                lines = [mark + x for x in textwrap.wrap(template + ".", width, break_on_hyphens=False)]
+                row = model.scan_texts(["\n".join(["int main", "", *lines, "", "more words"]).encode()])[0]
+                assert (row["families"], row["lines"]) == ({family}, list(range(2, 2 + len(lines)))), (template, width, row)
+                assert row["unconfirmed"] == 0
+    short, apart, tie = model.scan_texts([
+        b"Released under the\nMIT License", b"Released under the\n\nMIT License",
+        b"This program is free software: you can redistribute it and/or modify",
+    ])
+    assert short["families"] == {"MIT"} and short["lines"] == [0, 1] and not apart["families"]
+    assert not tie["families"] and tie["unconfirmed"] == 1
+    among = b"one two three four\nReleased under the MIT License.\nfive six seven " + b"word " * 300
+    assert (row := model.scan_texts([among])[0])["families"] == {"MIT"} and row["lines"] == [1]
+
+
 def test_empty_tables(empty):
     assert packing.packed(empty, TOKENS).collect() == [] and quality_rules.quality_rules(empty).collect() == []
     assert bpe.decode(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).collect() == []
