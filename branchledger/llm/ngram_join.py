@@ -360,8 +360,8 @@ def _sets(p: Join, wanted):
     return run
 
 
-def scan_lists(sets: list[np.ndarray], side: np.ndarray, weight: np.ndarray, p: Join) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links among sets of one block (side 0 only) or between two blocks (sides 0 and 1).
+def scan_lists(sets: list[np.ndarray], side: np.ndarray, two: bool, weight: np.ndarray, p: Join) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links among sets of one block or, with ``two``, between two (sides 0 and 1, either may be empty).
 
     For each set the inverted lists of all its shingles are scanned, which counts its exact
     intersection with every other set. Returns a spanning forest and each set's linked weight.
@@ -376,7 +376,7 @@ def scan_lists(sets: list[np.ndarray], side: np.ndarray, weight: np.ndarray, p:
     ends = np.append(np.flatnonzero(new)[1:], token.size)[np.cumsum(new) - 1]
     by_owner = np.argsort(owner, kind="stable")
     bounds = np.concatenate([[0], np.cumsum(size)])
-    two, root, forest = bool(side.any()), list(range(len(sets))), []
+    root, forest = list(range(len(sets))), []
     degree = np.zeros(len(sets), np.int64)
 
     def find(i: int) -> int:
@@ -414,7 +414,10 @@ def _verify(p: Join):
             sids = table.column("sid").to_pylist()
             sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
             side = (table.column("own").to_numpy() != table.column("one").to_numpy()).astype(np.int8)
-            forest, degree = scan_lists(sets, side, table.column("copies").to_numpy(), p)
+            two = table.column("one")[0] != table.column("two")[0]
+            if two and side.min() == side.max():  # one of the blocks holds no set
+                continue
+            forest, degree = scan_lists(sets, side, two, table.column("copies").to_numpy(), p)
             linked = np.flatnonzero(degree).tolist()
             yield pa.RecordBatch.from_arrays(
                 [

@@ -61,6 +61,16 @@ def test_join_of_small_sets(spark, p):
     assert got == linked_classes(rows, p.words, p.num, p.den)
 
 
+def test_join_counts_links_once_in_groups_of_few_large_sets(spark):
+    # Two sets a group and two blocks: in some groups both fall to one block and the other is empty.
+    p, rows = Join(1, 80, 100, block=100), []
+    for i in range(24):
+        words = [f"w{i}x{j}" for j in range(90)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-1], f"n{i}"]))]
+    got = Counter(map(tuple, jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), p).collect()))
+    assert got == linked_classes(rows, p.words, p.num, p.den)
+
+
 def test_boundary_follows_cost():
     p = Join(4, 85, 100)
     sizes = dict.fromkeys(range(1, 17), 100)
