@@ -7,6 +7,10 @@ holds it, and when a bin too many is open, the fullest closes. Bins still open a
 packed again as pieces, of a sixteenth as many partitions, until one is left, which so sees at
 most 16 times the fixed number of bins.
 
+Text is never read as a special token: one that spells an added token such as ``<|endoftext|>`` is
+encoded as ordinary characters (the library's ``encode_special_tokens``), so only the end id ends a
+document. A tokenizer at its defaults would give that token's single id.
+
 Defined cases: null text is empty, a document of the end id alone; a text of any length is
 tokenised whole; equal lengths are placed in the order of id, piece and checksum; repeated rows
 are packed as often as they occur; null ids pass; an empty table gives an empty result; columns
