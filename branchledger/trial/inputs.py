@@ -2,7 +2,8 @@
 
 Each input is one projection written in SQL that Spark and the oracle engine both read,
 so the two sides start from the same rows. Dirty values (spaces, lower case, nulls, bad
-numbers, suffixes) are derived from keys; every input covers its whole table.
+numbers, suffixes) are derived from keys; every input covers its whole table, but
+for two: ``inbound`` holds slips of orders of status P only, ``outbound`` of status F only.
 """
 
 from __future__ import annotations
