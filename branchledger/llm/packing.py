@@ -7,9 +7,8 @@ holds it, and when a bin too many is open, the fullest closes. Bins still open a
 packed again as pieces, of a sixteenth as many partitions, until one is left, which so sees at
 most 16 times the fixed number of bins.
 
-Text is never read as a special token: one that spells an added token such as ``<|endoftext|>`` is
-encoded as ordinary characters (the library's ``encode_special_tokens``), so only the end id ends a
-document. A tokenizer at its defaults would give that token's single id.
+Tokenizers are used at their defaults: where a text spells an added token such as ``<|endoftext|>``,
+that token's id stands for it. Such texts go through the library whole.
 
 Defined cases: null text is empty, a document of the end id alone; a text of any length is
 tokenised whole; equal lengths are placed in the order of id, piece and checksum; repeated rows
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from branchledger.llm.common import releasing, written
 
 #: White space that libraries disagree about; texts that hold any are tokenised in one go.
-_UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_UNSURE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: White space and the word after it: no token spans two of these.
 _UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
@@ -44,20 +43,23 @@ class Tokens:
     """Ids of texts as little-endian unsigned 32-bit integers, by the tokenizers library.
 
     The ids of a word with its leading white space do not depend on what stands around it, so
-    those of words met before are kept, up to ``most`` words.
+    those of words met before are kept, up to ``most`` words. ``literal``: added tokens in a text
+    are ordinary characters.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 500_000, literal: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_UNSURE, *([] if literal else map(re.escape, added))]))
         self.most, self.known = most, {}
         # Byte-level tokens are written with one character a byte.
         self.size = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
-            self.size[i] = len(token)
+            self.size[i] = 0 if token in added else len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -95,7 +97,7 @@ class Tokens:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """In order; texts of about a batch share one call of the library."""
-        units = [None if _UNSURE.search(t) else _UNIT.findall(t) for t in texts]
+        units = [None if self.whole.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
         missing = set().union(*(own for own in units if own)).difference(self.known)

@@ -39,7 +39,6 @@ def test_packing(odd, odd_rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENS)
-    tokenizer.encode_special_tokens = True
     got = packing.packed(odd, TOKENS, open_bins=2).collect()
     want = Counter()
     for i, text in odd_rows:
