@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchledger.llm import (
-    bpe, exact_dedup, language_id, licenses, ngram_join, packing, quality_classifier, quality_rules, substring_dedup, warc,
+    alignment, bpe, exact_dedup, hard_negatives, language_id, licenses, ngram_join, packing, quality_classifier, quality_rules,
+    stream_bpe, substring_dedup, warc,
 )
 from branchledger.llm.common import remainder, ship
 
@@ -87,11 +88,34 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(docs))
 
 
+def op11_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = stream_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    return stream_bpe.as_decimal(stream_bpe.decode(ids, path)).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("decimal", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.integers("embedding").alias("components")
+    )
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_warc, op3_quality_classifier, op4_best_fit_packing, op5_suffix_array_dedup,
         op6_exact_dedup, op7_language_id, op8_quality_rules, op9_byte_bpe, op10_license_scan,
+        op11_stream_bpe, op12_hard_negatives, op13_token_alignment,
     )
 }
 
@@ -116,4 +140,27 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER (PARTITION BY body) AS kept,
                sha256(body) AS text_sha256
         FROM t""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS anchor_id, v.vec_id AS other_id, a.label = v.label AS alike,
+                   CAST(list_dot_product(a.c, v.c) AS BIGINT) AS score
+            FROM v AS a, v WHERE a.vec_id % 100 = 0
+        ),
+        p AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike AND anchor_id <> other_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }
