@@ -3,9 +3,10 @@
 The closing calendar of a department is an ordered list of (start, end, period).
 A date up to and including ``start`` belongs to the month before ``period``, a date in
 ``(start, end]`` to ``period``, a date after the last ``end`` to the month after.
-The calendar is flattened into disjoint half-open intervals ``(lo, hi]``, so one hash
-join on the department with a range condition replaces a row-wise scan and can never
-multiply rows.
+The calendar is flattened into disjoint half-open intervals ``(after, until]`` and these into
+literal arrays over a grid of days, one stretch of cells a department: a row finds its cell by
+arithmetic and compares its date with the few bounds inside the cell. No join, no shuffle, no
+search: a period costs the same whatever the calendar holds.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from branchledger.functions.local import config_table
+from pyspark.sql import Column, DataFrame, functions as F
 
 OPEN_END = date(2099, 12, 31)
 FIRST_DAY, LAST_DAY = date(1, 1, 1), date(9999, 12, 31)
 
-INTERVAL_SCHEMA = "cal_dept string, cal_after date, cal_until date, cal_month date"
+#: Days of a cell of the grid, as a power of two. Monthly closings put one bound in a cell.
+CELL_BITS = 4
+EPOCH = date(1970, 1, 1)
 
 
 class Closing(NamedTuple):
@@ -55,9 +56,70 @@ def intervals(closings: Sequence[Closing]) -> list[tuple[date, date, date]]:
     return rows
 
 
-def calendar_table(spark: SparkSession, calendar: Calendar) -> DataFrame:
-    rows = [(dept, *row) for dept, closings in calendar.items() for row in intervals(closings)]
-    return config_table(spark, rows, INTERVAL_SCHEMA)
+def _months(day: date) -> int:
+    return day.year * 12 + day.month - 1
+
+
+class Grid(NamedTuple):
+    """Cells of all departments in one row each: the month a cell starts in, then bounds and months."""
+
+    base: dict[str, int]  # department -> number of its first cell
+    first: int  # cell of the calendar's earliest bound
+    width: int  # cells of a department
+    start: list[int]
+    steps: list[tuple[list[int], list[int]]]  # the k-th bound inside a cell, the month behind it
+
+
+def grid(calendar: Calendar) -> Grid | None:
+    """The intervals as a grid from the first bound to the last; None without any rule.
+
+    Months count from year 0, bounds are days since 1970. Before the first cell and behind the
+    last one holds what holds in these.
+    """
+    rules = {dept: intervals(closings) for dept, closings in calendar.items()}
+    bounds = {d: [((u - EPOCH).days, _months(m)) for _, u, m in rows] for d, rows in rules.items() if rows}
+    if not bounds:
+        return None
+    inner = [day >> CELL_BITS for rows in bounds.values() for day, _ in rows[:-1]] or [0]
+    first, width = min(inner), max(inner) - min(inner) + 1
+    start: list[int] = []
+    inside: list[list[tuple[int, int]]] = []
+    for rows in bounds.values():
+        month = rows[0][1]
+        cells: list[list[tuple[int, int]]] = [[] for _ in range(width)]
+        for (day, _), (_, after) in zip(rows, rows[1:]):
+            cells[(day >> CELL_BITS) - first].append((day, after))
+        for cell in cells:
+            start.append(month)
+            month = cell[-1][1] if cell else month
+        inside.extend(cells)
+    deepest = max(map(len, inside))
+    never = (LAST_DAY - EPOCH).days
+    steps = [
+        ([c[k][0] if k < len(c) else never for c in inside], [c[k][1] if k < len(c) else 0 for c in inside])
+        for k in range(deepest)
+    ]
+    return Grid({d: i * width for i, d in enumerate(bounds)}, first, width, start, steps)
+
+
+def _literal(values: Sequence[int]) -> Column:
+    """An array that the optimizer folds to a constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
+def closing_months(dept: Column, posted: Column, calendar: Calendar) -> Column:
+    """The month of a date by its department's rules, counted from year 0; null without a rule."""
+    table = grid(calendar)
+    if table is None:
+        return F.lit(None).cast("int")
+    base = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.base.items() for x in pair]), dept)
+    days = F.unix_date(posted)
+    offset = F.greatest(F.lit(0), F.least(F.lit(table.width - 1), F.shiftright(days, CELL_BITS) - table.first))
+    cell = base + offset
+    month = F.get(_literal(table.start), cell)
+    for bounds, behind in table.steps:
+        month = F.when(days > F.get(_literal(bounds), cell), F.get(_literal(behind), cell)).otherwise(month)
+    return F.when(days > (FIRST_DAY - EPOCH).days, month)
 
 
 def assign_period(
@@ -72,21 +134,15 @@ def assign_period(
     ``fallback='month'`` uses the month of the date where no rule applies, ``None``
     leaves the period null. A null date is null either way.
     """
-    cal = calendar_table(df.sparkSession, calendar)
-    joined = df.join(
-        cal,
-        (df[dept] == cal.cal_dept)
-        & (df[posted] > cal.cal_after)
-        & (df[posted] <= cal.cal_until),
-        "left",
-    )
-    month: Column = F.col("cal_month")
+    day = F.col(posted)
+    month = closing_months(F.col(dept), day, calendar)
     if fallback == "month":
-        month = F.coalesce(month, F.trunc(F.col(posted), "month"))
-    return joined.withColumns(
+        month = F.coalesce(month, F.year(day) * 12 + F.month(day) - 1)
+    df = df.withColumn("__month", month)
+    month = F.col("__month")
+    return df.withColumns(
         {
-            "closing_month": F.month(month),
-            "closing_year": F.year(month),
-            "period": F.date_format(month, "yyyy-MM"),
+            "closing_month": (month % 12 + 1).cast("int"),
+            "closing_year": F.floor(month / 12).cast("int"),
         }
-    ).drop("cal_dept", "cal_after", "cal_until", "cal_month")
+    ).withColumn("period", F.concat(F.lpad(F.col("closing_year").cast("string"), 4, "0"), F.lit("-"), F.lpad(F.col("closing_month").cast("string"), 2, "0"))).drop("__month")
