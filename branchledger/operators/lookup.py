@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from branchledger.operators.skew import evenly_salted_join
+from branchledger.operators.skew import skewed_lookup_join
 
 
 def unique_lookup(lookup: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
@@ -29,13 +29,14 @@ def lookup_join(
     """Left join of ``fact`` to a de-duplicated lookup; ``on`` maps fact -> lookup column.
 
     The optimizer broadcasts the lookup while it is under the session's size threshold.
-    Past it the join is a shuffle; ``spread_by`` names fact columns that cut a hot key into
-    parts, and stays empty for a fact that was already grouped by the key.
+    Past it the join is a shuffle; ``spread_by`` names fact columns that cut a hot key, if a sketch
+    of the fact's keys shows one, into parts. It stays empty for a fact that was already grouped by
+    the key.
     """
     right = unique_lookup(lookup, list(on.values()), take)
     right = right.select(*[F.col(r).alias(l) for l, r in on.items()], *take)
     if spread_by:
-        return evenly_salted_join(fact, right, list(on), spread_by)
+        return skewed_lookup_join(fact, right, list(on), spread_by)
     return fact.join(right, list(on), "left")
 
 

@@ -1,22 +1,130 @@
-"""Exact quantile scores over a whole table without a window in a single task."""
+"""Exact quantile scores over a whole table without a global sort.
+
+The rows at which a tile begins are *selected*: brackets around each are narrowed by rounds of
+map-side counts, first over ranges of the value, then, among rows of one value, over ranges of the
+key. Once they are known a score is a comparison with a few constants, in one pass over the table.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from branchledger.session import shared_folder
 
+#: Ranges of a bracket that a round counts, by value and by key.
+VALUE_RANGES, KEY_RANGES = 4096, 32
+#: Rows of a bracket that are few enough to be fetched and sorted.
+FEW = 5000
+
+
+@dataclass
+class _Cut:
+    """The row at place ``rank`` (from 0) of a bracket, in the order of value and key."""
+
+    metric: str
+    value: Column  # ascending, never null
+    rank: int
+    low: int
+    high: int  # inclusive
+    count: int
+    after: Any = None  # the bracket's keys: beyond this one, up to that one
+    upto: Any = None
+    splitters: tuple = ()
+
+    def inside(self, key: str) -> Column:
+        held = (self.value >= self.low) & (self.value <= self.high)
+        if self.after is not None:
+            held &= F.col(key) > F.lit(self.after)
+        if self.upto is not None:
+            held &= F.col(key) <= F.lit(self.upto)
+        return held
+
+    @property
+    def width(self) -> int:
+        return -(-(self.high - self.low + 1) // VALUE_RANGES)
+
+    def range_of(self, key: str) -> Column:
+        """The number of a row's range in the bracket."""
+        if self.low < self.high:
+            return F.expr(f"int(({self.metric_name} - {self.low}L) div {self.width}L)")
+        beyond = [(F.col(key) > F.lit(s)).cast("int") for s in self.splitters]
+        return sum(beyond[1:], beyond[0])
+
+    @property
+    def metric_name(self) -> str:
+        return f"`__{self.metric}`"
+
+    def narrow(self, counts: dict[int, int]) -> None:
+        before = 0
+        for at in sorted(counts):
+            if before + counts[at] > self.rank:
+                break
+            before += counts[at]
+        self.rank, self.count = self.rank - before, counts[at]
+        if self.low < self.high:
+            self.low, self.high = self.low + at * self.width, min(self.high, self.low + (at + 1) * self.width - 1)
+        else:
+            bounds = [self.after, *self.splitters, self.upto]
+            self.after, self.upto = bounds[at], bounds[at + 1]
+
+
+def _per_cut(df: DataFrame, cuts: list[_Cut], key: str, *columns) -> DataFrame:
+    """A row per cut and row of its bracket: ``cut`` and what each of ``columns`` gives for it."""
+    cells = [
+        F.when(c.inside(key), F.struct(F.lit(i).alias("cut"), *[make(c).alias(name) for name, make in columns]))
+        for i, c in enumerate(cuts)
+    ]
+    return df.select(F.inline(F.array_compact(F.array(*cells))))
+
 
-def tile_of(rank: Column, rows: Column, bins: int) -> Column:
-    """Tile 1..bins of a row by its rank from 0: the first ``rows % bins`` tiles hold one more."""
-    size, larger = F.floor(rows / bins), rows % bins
-    edge = larger * (size + 1)
-    return F.when(rank < edge, F.floor(rank / (size + 1)) + 1).otherwise(
-        larger + F.floor((rank - edge) / F.greatest(size, F.lit(1))) + 1
-    )
+def _split_keys(df: DataFrame, cuts: list[_Cut], key: str) -> None:
+    """Keys that part each bracket evenly, from those of its rows that a hash chooses."""
+    def chosen(c: _Cut) -> Column:
+        share = max(1, c.count // (8 * KEY_RANGES))
+        return F.when(F.pmod(F.xxhash64(key), F.lit(share)) == 0, F.col(key))
+
+    found = _per_cut(df, cuts, key, ("key", chosen)).where("key is not null").collect()
+    for i, c in enumerate(cuts):
+        own = sorted({r.key for r in found if r.cut == i} - {c.upto})
+        step = max(1, len(own) // KEY_RANGES)
+        c.splitters = tuple(own[step // 2 :: step])
+
+
+def cut_rows(df: DataFrame, metrics: Mapping[str, Column], key: str, ranks: list[int], most: int = FEW) -> dict[str, list[tuple[int, Any]]]:
+    """Per metric the (value, key) at each place of ``ranks``, in the order of value and key.
+
+    ``df`` should be a table: every round reads it. Keys are unique and not null.
+    """
+    df = df.select(key, *[v.cast("long").alias(f"__{m}") for m, v in metrics.items()])
+    own = {m: F.col(f"__{m}") for m in metrics}
+    ends = df.agg(F.count(F.lit(1)).alias("n"), *[f(own[m]).alias(f"{name}_{m}") for m in metrics for name, f in (("low", F.min), ("high", F.max))]).first()
+    cuts = [_Cut(m, own[m], r, ends[f"low_{m}"], ends[f"high_{m}"], ends.n) for m in metrics for r in ranks]
+    while wide := [c for c in cuts if c.count > most]:
+        if tied := [c for c in wide if c.low == c.high]:
+            _split_keys(df, tied, key)
+        wide = [c for c in wide if c.low < c.high or c.splitters]
+        counted = _per_cut(df, wide, key, ("at", lambda c: c.range_of(key))).groupBy("cut", "at").count().collect()
+        for i, c in enumerate(wide):
+            c.narrow({r.at: r["count"] for r in counted if r.cut == i})
+    rows = _per_cut(df, cuts, key, ("value", lambda c: c.value), ("key", lambda _: F.col(key))).collect() if cuts else []
+    held: list[list[tuple]] = [[] for _ in cuts]
+    for r in rows:
+        held[r.cut].append((r.value, r.key))
+    out: dict[str, list[tuple[int, Any]]] = {m: [] for m in metrics}
+    for c, own_rows in zip(cuts, held):
+        out[c.metric].append(sorted(own_rows)[c.rank])
+    return out
+
+
+def tile_starts(rows: int, bins: int) -> list[int]:
+    """Where tiles 2..bins begin: the first ``rows % bins`` tiles hold one row more."""
+    size, larger = divmod(rows, bins)
+    return [i * size + min(i, larger) for i in range(1, bins)]
 
 
 def quintile_scores(
@@ -24,35 +132,26 @@ def quintile_scores(
 ) -> DataFrame:
     """Add ``<metric>_score`` (1..bins, the tiles of ``ntile``) for each metric.
 
-    ``metrics`` maps a column to ``asc`` (large is good) or ``desc`` (small is good); the
-    unique ``key`` breaks ties, nulls rank lowest. Rows are range-partitioned by (value, key),
-    so even a value that most rows share is spread; the ranges are written, numbered inside
-    and moved by the sizes of the ranges before, one row per range.
+    ``metrics`` maps an integer column to ``asc`` (large is good) or ``desc`` (small is good); the
+    unique ``key`` breaks ties, nulls rank lowest for ``asc`` and last for ``desc``. ``df`` is
+    evaluated once, into a table that the rounds and the result read.
     """
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df
+    path = f"{shared_folder(spark)}/scored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    ends = table.agg(F.count(F.lit(1)).alias("n"), *[f(m).alias(f"{name}_{m}") for m in metrics for name, f in (("low", F.min), ("high", F.max))]).first()
+    values = {}
     for m, direction in metrics.items():
-        first = F.col(m).asc_nulls_first() if direction == "asc" else F.col(m).desc_nulls_last()
-        order = [first, F.col(key).asc()]
-        # Sampled ranges may differ between runs of a plan, so they are fixed in a table.
-        path = f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}"
-        ranges = df.select(key, m).repartitionByRange(parts, *order)
-        ranges.withColumn("part", F.spark_partition_id()).write.parquet(path)
-        ranged = spark.read.schema(f"{ranges.select(key, m).schema.toDDL()}, part int").parquet(path)
-        sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy()
-        offsets = sizes.select(
-            "part",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-            F.sum("n").over(whole).alias("rows"),
-        )
-        inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-        scored = (
-            ranged.withColumn("inside", inside)
-            .join(offsets, "part")
-            .select(key, tile_of(F.col("inside") + F.col("offset"), F.col("rows"), bins).cast("bigint").alias(f"{m}_score"))
-        )
-        out = out.join(scored, key, "left")
-    return out
+        low, high = ends[f"low_{m}"] or 0, ends[f"high_{m}"] or 0
+        values[m] = F.coalesce(F.col(m), F.lit(low - 1)) if direction == "asc" else -F.coalesce(F.col(m), F.lit(low - 1))
+    starts = [r for r in tile_starts(ends.n, bins) if r < ends.n]
+    cuts = cut_rows(table, values, key, starts) if starts else {m: [] for m in metrics}
+
+    def score(m: str) -> Column:
+        reached = [
+            ((values[m] > v) | ((values[m] == v) & (F.col(key) >= F.lit(k)))).cast("bigint") for v, k in cuts[m]
+        ]
+        return sum(reached, F.lit(1).cast("bigint"))
+
+    return table.withColumns({f"{m}_score": score(m) for m in metrics})

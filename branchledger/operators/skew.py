@@ -11,10 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from branchledger.functions.local import config_table
+
+#: Rows of one key that a task may get; all of these only shape the plan, never the result.
 HOT_ROWS = 2_000_000
 NULL_SALTS = 1024
-EVEN_SALTS = 8
-SALT, PARTS = "__salt", "__parts"
+#: Hot keys that are split at most, and keys that the sketch follows to find them.
+MOST_HOT, TRACKED = 1000, 10_000
+HOT, SALT, PARTS = "__hot", "__salt", "__parts"
 
 
 def spread_nulls(key: Column, by: Column) -> Column:
@@ -31,21 +35,45 @@ def copies(n: Column | int) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))
 
 
-def evenly_salted_join(
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer, by its own estimate of ``df``, may broadcast it in this session."""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return not limit.startswith("-") and int(size) <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+
+
+def skewed_lookup_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    salts: int = EVEN_SALTS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join to a lookup: as it is where it is small, else with hot keys cut into parts.
+
+    A lookup that may be broadcast is neither copied nor shuffled. For a larger one a sketch of
+    the left keys, one scan of these columns, finds the hot ones; only their lookup rows are copied.
+    """
+    if fits_broadcast(right):
+        return left.join(right, list(keys), "left")
+    return salted_left_joins(left, [right], keys, spread_by, heavy_keys(left, keys, hot_rows))
+
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT, tracked: int = TRACKED
 ) -> DataFrame:
-    """Left join to a modest lookup: every key is cut into ``salts`` parts.
+    """Keys of about more than ``hot_rows`` rows, with the parts to cut each into, from a sketch.
 
-    The copied lookup is shuffled afresh by (keys, salt), so adaptive execution can split
-    further what is still hot; a lookup under the broadcast threshold is broadcast.
+    The sketch has a fixed size, combines map-side and finds every key that holds more than about
+    1/``tracked`` of the rows, so the result is a local table of ``most`` rows at most. It is
+    computed when the plan is built.
     """
-    salted = left.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copied = right.withColumn(SALT, F.explode(copies(salts)))
-    return salted.join(copied, [*keys, SALT], "left").drop(SALT)
+    known = df.select(*keys).dropna().select(F.xxhash64(*keys).alias(HOT))
+    sketch = F.expr(f"approx_top_k({HOT}, {most}, {tracked})")
+    found = known.agg(sketch.alias("top")).select(F.inline("top"))
+    rows = [(r.item, -(-r["count"] // hot_rows)) for r in found.collect() if r["count"] > hot_rows]
+    return config_table(df.sparkSession, rows, f"{HOT} long, {PARTS} long")
 
 
 def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,8 +87,7 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -
     At most total / hot_rows keys qualify.
     """
     parts = F.ceil(F.col("n_rows") / F.lit(hot_rows))
-    renamed = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
-    return counts.filter(F.col("n_rows") > hot_rows).select(*renamed, parts.alias(PARTS))
+    return counts.filter(F.col("n_rows") > hot_rows).select(F.xxhash64(*keys).alias(HOT), parts.alias(PARTS))
 
 
 def salted_left_joins(
@@ -77,26 +104,27 @@ def salted_left_joins(
     salt 0 and one copy. Null keys match nothing and are scattered. Every input is shuffled
     once on (keys, salt) and the whole chain reuses that partitioning.
 
-    ``hot`` comes from ``hot_keys`` (a trillion rows give at most half a million keys),
-    hence the broadcast.
+    ``hot`` comes from ``heavy_keys``, which bounds its rows, or from ``hot_keys``; it is
+    broadcast where the optimizer knows it to be small enough. Keys are told by a hash; one that
+    shares a hot key's hash is cut into parts as well.
     """
-    hot = F.broadcast(hot)
-    hot_columns = [c for c in hot.columns if c != PARTS]
 
     def mark(df: DataFrame) -> DataFrame:
-        same = [df[k] == hot[h] for k, h in zip(keys, hot_columns, strict=True)]
-        return df.join(hot, same, "left").drop(*hot_columns)
+        return df.join(hot, F.xxhash64(*[df[k] for k in keys]) == hot[HOT], "left").drop(HOT)
 
     row_hash = F.xxhash64(*spread_by)
+    # A zero that the optimizer cannot fold: the salt stays a join key even where nothing is hot, so
+    # the right side is shuffled afresh and adaptive execution can split what turns out to be.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     salt = (
         F.when(F.col(PARTS).isNotNull(), F.pmod(row_hash, F.col(PARTS)))
         .when(any_null, F.pmod(row_hash, F.lit(NULL_SALTS)))
-        .otherwise(F.lit(0))
+        .otherwise(zero)
     )
     out = mark(left).withColumn(SALT, salt.cast("bigint")).drop(PARTS)
     for right in rights:
         parts = F.coalesce(F.col(PARTS), F.lit(1))
-        copied = mark(right).withColumn(SALT, F.explode(copies(parts))).drop(PARTS)
+        copied = mark(right).withColumn(SALT, F.explode(copies(parts))).withColumn(SALT, F.col(SALT) + zero).drop(PARTS)
         out = out.join(copied, [*keys, SALT], "left")
     return out.drop(SALT)

@@ -19,7 +19,7 @@ from branchledger.functions.text import (
 )
 from branchledger.operators.consolidate import Platform, consolidate, from_sources
 from branchledger.operators.lookup import any_of_names
-from branchledger.operators.skew import evenly_salted_join
+from branchledger.operators.skew import skewed_lookup_join
 from branchledger.operators.stack import stack
 
 
@@ -213,7 +213,7 @@ def with_owner_employee(customers: DataFrame, employees: DataFrame) -> DataFrame
         F.col("match_name").alias("owner"), F.col("employee_code").alias("__by_name")
     )
     # One owner, or no owner, may hold a large share of the customers.
-    joined = evenly_salted_join(customers, names, ["owner"], ["customer_code"])
+    joined = skewed_lookup_join(customers, names, ["owner"], ["customer_code"])
     code = F.upper(F.coalesce("owner_code", "__by_name"))
     return joined.withColumn("employee_code", code).drop("__by_name")
 

@@ -7,9 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from branchledger import values as v
 from branchledger.functions.rules import first_match
 from branchledger.functions.text import join_or_blank, norm_code
-from branchledger.operators.skew import (
-    HOT_ROWS, evenly_salted_join, hot_keys, rows_per_key, salted_left_joins, spread_nulls,
-)
+from branchledger.operators.skew import HOT_ROWS, heavy_keys, salted_left_joins, skewed_lookup_join, spread_nulls
 
 HISTORY, ORDER = "FILE_INVENTORY", "FILE_ORDER"
 
@@ -52,14 +50,7 @@ def with_waybills_and_customers(
         spread_nulls(F.col("order_waybill"), F.col("doc_code")) == F.col("lading_code"),
         "left",
     ).drop("order_waybill")
-    per_customer = rows_per_key(headers, ["dim_customer"])
-    return salted_left_joins(
-        shipped,
-        [owners],
-        ["dim_customer"],
-        ["doc_code"],
-        hot_keys(per_customer, ["dim_customer"], hot_rows),
-    ).drop("dim_customer")
+    return skewed_lookup_join(shipped, owners, ["dim_customer"], ["doc_code"], hot_rows).drop("dim_customer")
 
 
 def slips(df: DataFrame, prefix: str) -> DataFrame:
@@ -84,9 +75,8 @@ def inventory_detail(
 ) -> DataFrame:
     """Every movement and every order without a movement, one row per matching document.
 
-    Rows per document are counted once; the counts give both the orders without movements
-    (added as bare documents) and the hot documents to split. ``products`` and
-    ``customers`` are dimensions with unique codes.
+    Orders without movements are added as bare documents; the hot documents to split come from a
+    sketch of the movements' codes. ``products`` and ``customers`` are dimensions with unique codes.
     """
     prices = products.select(F.col("product_code").alias("dim_product"), "list_price")
     moves = history.select(
@@ -102,18 +92,16 @@ def inventory_detail(
         "qty",
     ).filter(F.col("doc_code").isNotNull())
     order_codes = orders.select(norm_code(F.col("order_code")).alias("doc_code"))
-    counts = rows_per_key(moves, ["doc_code"])
-    bare = order_codes.dropna().distinct().join(counts, "doc_code", "left_anti")
-    priced = evenly_salted_join(
-        moves, prices, ["dim_product"], ["doc_code", "occurred_at"]
-    ).drop("dim_product")
+    moved = moves.select("doc_code").distinct()
+    bare = order_codes.dropna().distinct().join(moved, "doc_code", "left_anti")
+    priced = skewed_lookup_join(moves, prices, ["dim_product"], ["doc_code", "occurred_at"], hot_rows).drop("dim_product")
     headers = with_waybills_and_customers(orders, lading, customers, hot_rows)
     joined = salted_left_joins(
         priced.withColumn("in_history", F.lit(True)).unionByName(bare, allowMissingColumns=True),
         [headers.withColumn("in_orders", F.lit(True)), slips(inbound, "in"), slips(outbound, "out")],
         ["doc_code"],
         ["product_code", "occurred_at", "partner", "qty"],
-        hot_keys(counts, ["doc_code"], hot_rows),
+        heavy_keys(moves, ["doc_code"], hot_rows),
     )
     in_history, in_orders = F.col("in_history"), F.col("in_orders")
     return joined.select(

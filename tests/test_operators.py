@@ -5,13 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from branchledger.functions.local import config_table
 from branchledger.operators import checks
 from branchledger.operators.consolidate import Platform, consolidate
 from branchledger.operators.latest import latest_per_key, replace_groups, upsert
 from branchledger.operators.lookup import any_of_names, drop_codes, duplicate_keys, lookup_join
 from branchledger.operators.margins import counts_by_case_with_total, counts_with_total
-from branchledger.operators.scoring import quintile_scores
-from branchledger.operators.skew import hot_keys, rows_per_key, salted_left_joins, spread_nulls
+from branchledger.operators.scoring import cut_rows, quintile_scores
+from branchledger.operators.skew import heavy_keys, hot_keys, rows_per_key, salted_left_joins, skewed_lookup_join, spread_nulls
 from branchledger.operators.stack import aligned_sums, stack, stack_tagged
 
 
@@ -103,6 +104,25 @@ def test_quintiles_are_exact_tiles(spark):
     assert got == {i: (by_m[i], by_r[i]) for i, *_ in data}
 
 
+@pytest.mark.parametrize("most", [1, 7, 5000])
+def test_cut_rows_by_rounds_of_counts(spark, most):
+    """Brackets down to a single row: values far apart, one value that most rows share, null values."""
+    rng = random.Random(most)
+    data = [(f"k{i * 7919 % 1000:03}", rng.choice([7, 7, 7, rng.randint(-(10**15), 10**15)]), rng.randint(0, 3)) for i in range(800)]
+    df = spark.createDataFrame(data, "id string, m bigint, r bigint")
+    ranks = [0, 1, 160, 399, 400, 799]
+    got = cut_rows(df, {"m": F.col("m"), "r": -F.col("r")}, "id", ranks, most)
+    by_m, by_r = sorted((m, i) for i, m, _ in data), sorted((-r, i) for i, _, r in data)
+    assert got == {"m": [by_m[k] for k in ranks], "r": [by_r[k] for k in ranks]}
+
+
+def test_scores_of_few_rows(spark):
+    for n in (0, 1, 3, 5, 6):
+        df = spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(None).cast("bigint").alias("m"))
+        got = [r.m_score for r in quintile_scores(df, {"m": "desc"}, "k").orderBy("k").collect()]
+        assert got == [r.t for r in df.selectExpr("ntile(5) over (order by k) t").orderBy("t").collect()]
+
+
 def test_upsert_keeps_rows_without_a_key_and_may_be_rerun(frame, rows):
     schema = "k string, t int, x string"
     old = frame(schema, ("a", 1, "old"), (None, 1, "p"), (None, 2, "q"))
@@ -162,6 +182,33 @@ def test_hot_rows_spread_over_partitions(spark):
     assert sum(sizes) == 3000 and len(sizes) == 4 and max(sizes) < 1500
 
 
+def test_sketch_finds_the_keys_that_counting_finds(spark):
+    left = spark.range(9000).select(
+        F.when(F.col("id") < 4000, "hot").when(F.col("id") < 5000, "warm").when(F.col("id") > 6000, (F.col("id") % 900).cast("string")).alias("k"),
+        (F.col("id") % 2).alias("g"), "id",
+    )
+    for keys in (["k"], ["k", "g"]):
+        exact = hot_keys(rows_per_key(left.dropna(), keys), keys, 300)
+        assert sorted(map(tuple, heavy_keys(left, keys, 300).collect())) == sorted(map(tuple, exact.collect()))
+    assert heavy_keys(left.limit(0), ["k"]).collect() == []
+
+
+def test_small_lookup_is_broadcast_once_and_not_copied(spark):
+    left = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"), "id")
+    right = config_table(spark, [(str(i), i) for i in range(5)], "k string, r int")
+    want = sorted(map(tuple, left.join(right, "k", "left").collect()))
+    small = skewed_lookup_join(left, right, ["k"], ["id"])
+    text = small._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastExchange") == 1 and "Generate" not in text and "SortMergeJoin" not in text
+    assert sorted(map(tuple, small.collect())) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = skewed_lookup_join(left, right, ["k"], ["id"], hot_rows=100)
+        assert sorted(map(tuple, large.select("k", "id", "r").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_spread_nulls_matches_nothing(frame, rows):
     left = frame("k string, i int", ("a", 1), (None, 2))
     right = frame("k2 string, r string", ("a", "x"), (None, "y"))
