@@ -381,12 +381,17 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def share(wanted: int, rows: int) -> float:
+    """The part of ``rows`` that leaves about ``wanted``, as a double: no number of rows overflows."""
+    return wanted / max(rows, 1)
+
+
 def train(docs: DataFrame, s: Scan = Scan(), id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model whose corpus examples come from a bounded sample of documents, chosen by hash."""
     lines = F.slice(F.filter(F.split(text_col, "\n"), lambda x: F.length(x).between(1, s.longest)), 1, s.lines)
     # A share that leaves about twice the sample, so that tasks send few rows, then the first by hash.
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30))
-    few = docs.where(place * F.lit(docs.count()) < F.lit(2 * s.sample << 30))
+    place = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30)
+    few = docs.where(place < share(2 * s.sample, docs.count()))
     sample = few.select(place.alias("h"), lines.alias("lines")).orderBy("h", "lines").limit(s.sample)
     return fit([x for r in sample.collect() for x in r.lines or []], s)
 

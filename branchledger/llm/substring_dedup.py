@@ -189,8 +189,7 @@ def _contexts(p: Repeats):
             rows: list[tuple] = []
             k1, k2, texts, places = (batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "places"))
             for one, two, text, own in zip(k1.to_pylist(), k2.to_pylist(), as_bytes(texts), places.to_pylist()):
-                # Equal rows have joined with each other's anchors as well.
-                for h, lo, a, w in {(x["h"], x["lo"], x["a"], x["w"]) for x in own}:
+                for h, lo, a, w in ((x["h"], x["lo"], x["a"], x["w"]) for x in own):
                     context = text[lo : lo + w + p.length]
                     seen[h, a, context] = seen.get((h, a, context), 0) + 1
                     rows.append((one, two, lo, *_digest(h, a, context)))
@@ -466,7 +465,9 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
         found.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_repeated_anchors, found.schema),
         "repeat-anchors",
     )
-    lists = places.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "lo", "a", "w")).alias("places"))
+    # Equal rows have equal anchors: a set holds each once. As tables, lists and ranges join by a
+    # shuffle of their own, so a row that repeats very often can be split over tasks.
+    lists = written(places.groupBy("k1", "k2").agg(F.collect_set(F.struct("h", "lo", "a", "w")).alias("places")), "repeat-places")
     # Documents without a repeated anchor, most of them, are done; a filter spares their shuffle.
     wanted = spark.sparkContext.broadcast(row_filter(places, "k1"))
     near = let_pass(keyed, wanted, "k1")
@@ -478,10 +479,11 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
         .mapInArrow(releasing(_compare(p)), "x1 long, x2 long, first long, end long")
     )
     where = both.where("lo is not null").select("k1", "k2", "lo", "x1", "x2")
-    ranges = (
+    ranges = written(
         where.join(windows, ["x1", "x2"])
         .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct((F.col("lo") + F.col("first")).alias("start"), (F.col("lo") + F.col("end")).alias("end"))).alias("ranges"))
+        .agg(F.collect_set(F.struct((F.col("lo") + F.col("first")).alias("start"), (F.col("lo") + F.col("end")).alias("end"))).alias("ranges")),
+        "repeat-ranges",
     )
     own = keyed.schema["own"].dataType.simpleString()
     schema = f"own {own}, n_bytes long, spans array<struct<start: long, end: long>>, kept {'string' if as_text else 'binary'}"

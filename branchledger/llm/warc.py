@@ -12,11 +12,16 @@ Records: ``response`` with an HTTP head and the payload, ``revisit`` with the he
 Defined cases: a null payload is empty; a null id gives the record name ``null`` and comes back
 null; a null address is left out; of equal payloads the row with the smallest id is the response,
 rows that repeat that very id are responses too, and rows without any id to refer to are
-responses; an empty table gives no archive and no record; further columns are not written.
+responses; an empty table gives no archive and no record; further columns are not written. Archives
+of other writers are read as well: no dictionary, folded header lines, skippable frames between
+records, HTTP heads without a length and digests by other algorithms, which are checked where
+known; ``payload_digest`` is always the SHA-256 of a payload that is there, and for a revisit what
+the record declares.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import struct
 import uuid
@@ -34,9 +39,11 @@ from branchledger.llm.common import new_folder, written
 
 #: Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
+SKIPPABLE = 0x184D2A50
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 DICTIONARY_MAGIC = b"\x37\xa4\x30\xec"
 VERSIONS = (b"WARC/1.0", b"WARC/1.1")
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 REQUIRED = ("warc-record-id", "warc-type", "warc-date", "content-length")
 
 
@@ -49,9 +56,11 @@ class Writing:
     level: int = 3
     #: An archive is closed when it has this many bytes.
     archive_bytes: int = 64 << 20
-    #: The dictionary is trained on an archive's first records: so many, of so many bytes at most.
+    #: The dictionary is trained on an archive's first records: so many, of so many bytes at most,
+    #: in samples of so many bytes. It has an eighth of their bytes, this many at most.
     sample_records: int = 512
     sample_bytes: int = 4 << 20
+    sample_piece: int = 512
     dictionary_bytes: int = 64 << 10
     #: Smaller payloads are always written in full.
     least_revisit: int = 100
@@ -78,6 +87,17 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def trained_on(records: list[bytes], w: Writing) -> zstandard.ZstdCompressionDict:
+    """A dictionary of an archive's first records, of a size that suits them.
+
+    Training wants many samples: records are cut into pieces, and heads of records without a
+    payload stand beside them, so that the smallest archive has a dictionary as well.
+    """
+    heads = [record(i, f"https://{i}.invalid/", b"", hashlib.sha256(b"%d" % i).hexdigest(), (None, i)[i % 2], w.date) for i in range(64)]
+    samples = [data[a : a + w.sample_piece] for data in records for a in range(0, len(data), w.sample_piece)] + heads
+    return zstandard.train_dictionary(max(256, min(w.dictionary_bytes, sum(map(len, samples)) // 8)), samples)
+
+
 class _Archive:
     """An open archive: a dictionary from its first records, then a frame for each record."""
 
@@ -105,13 +125,9 @@ class _Archive:
         self.size += len(data)
 
     def _start(self) -> None:
-        try:
-            trained = zstandard.train_dictionary(self.w.dictionary_bytes, self.first)
-        except zstandard.ZstdError:  # too few records to train on: an archive without a dictionary
-            trained = None
-        if trained:
-            packed = zstandard.ZstdCompressor(level=self.w.level).compress(trained.as_bytes())
-            self._put(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
+        trained = trained_on(self.first, self.w)
+        packed = zstandard.ZstdCompressor(level=self.w.level).compress(trained.as_bytes())
+        self._put(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
         self.packer = zstandard.ZstdCompressor(level=self.w.level, dict_data=trained, write_checksum=True)
         for data in self.first:
             self._put(self.packer.compress(data))
@@ -164,26 +180,42 @@ def _dictionary(data: bytes, where: str) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(data)
 
 
-def frames(stream, where: str, buffer: int = 32 << 10) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every frame, decoded with the archive's dictionary."""
-    head = stream.read(8)
-    unpacker, held, offset = zstandard.ZstdDecompressor(), head, 0
-    if len(head) == 8 and struct.unpack("<I", head[:4])[0] == DICTIONARY_FRAME:
-        size = struct.unpack("<I", head[4:])[0]
-        data = stream.read(size)
-        if len(data) != size:
-            raise ArchiveError(f"{where}: the dictionary's frame is cut short")
-        unpacker, held, offset = zstandard.ZstdDecompressor(dict_data=_dictionary(data, where)), b"", 8 + size
+#: A record larger than this, decoded, is refused: nothing else bounds what a frame unpacks to.
+MOST_RECORD = 1 << 30
+
+
+def frames(stream, where: str, buffer: int = 32 << 10, most: int = MOST_RECORD) -> Iterator[tuple[int, bytes]]:
+    """Offset and content of every frame, decoded with the archive's dictionary; skippable frames are skipped."""
+    unpacker, held, offset = zstandard.ZstdDecompressor(), b"", 0
     while True:
-        held = held or stream.read(buffer)
+        while len(held) < 8 and (more := stream.read(buffer)):
+            held += more
         if not held:
             return
-        frame, parts, used = unpacker.decompressobj(), [], 0
+        magic = struct.unpack("<I", held[:4])[0] if len(held) >= 8 else 0
+        if magic & ~0xF == SKIPPABLE:
+            size = struct.unpack("<I", held[4:8])[0]
+            first, kept = offset == 0 and magic == DICTIONARY_FRAME, []
+            left, held, offset = size, held[8:], offset + 8 + size
+            while left:
+                held = held or stream.read(buffer)
+                if not held:
+                    raise ArchiveError(f"{where}: {'the dictionary' if first else 'a skippable'} frame is cut short")
+                if first:
+                    kept.append(held[:left])
+                left, held = left - min(left, len(held)), held[left:]
+            if first:
+                unpacker = zstandard.ZstdDecompressor(dict_data=_dictionary(b"".join(kept), where))
+            continue
+        frame, parts, used, unpacked = unpacker.decompressobj(), [], 0, 0
         while True:
             try:
                 parts.append(frame.decompress(held))
             except zstandard.ZstdError as e:
                 raise ArchiveError(f"{where}: frame at {offset}: {e}") from e
+            unpacked += len(parts[-1])
+            if unpacked > most:
+                raise ArchiveError(f"{where}: frame at {offset} unpacks to more than {most} bytes")
             used += len(held)
             if frame.eof:
                 held = frame.unused_data
@@ -195,15 +227,30 @@ def frames(stream, where: str, buffer: int = 32 << 10) -> Iterator[tuple[int, by
 
 
 def _headers(lines: list[bytes], where: str) -> dict[str, str]:
+    """Names in lower case; a line that starts with white space continues the one before."""
     out: dict[str, str] = {}
+    last = None
     for line in lines:
+        if line[:1] in (b" ", b"\t") and last is not None:
+            out[last] += " " + line.decode("utf-8", "replace").strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon or not name.strip():
             raise ArchiveError(f"{where}: header line without a name: {line[:60]!r}")
-        out[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        last = name.decode("latin-1").strip().lower()
+        out[last] = value.decode("utf-8", "replace").strip()
     return out
 
 
+def agrees(declared: str, payload: bytes) -> bool:
+    """Whether a payload has the declared digest, in base 16 or 32; an unknown algorithm tells nothing."""
+    name, _, value = declared.partition(":")
+    if name.lower().replace("-", "") not in DIGESTS:
+        return True
+    own = hashlib.new(name.lower().replace("-", ""), payload)
+    return value.lower() == own.hexdigest() or value.upper().rstrip("=") == base64.b32encode(own.digest()).decode().rstrip("=")
+
+
 def parse(data: bytes, where: str) -> dict:
     """The record in a frame, its headers and lengths checked."""
     head, blank, body = data.partition(b"\r\n\r\n")
@@ -220,20 +267,23 @@ def parse(data: bytes, where: str) -> dict:
     if out["type"] not in ("response", "revisit"):
         return out | {"payload": block, "size": len(block), "digest": hashlib.sha256(block).hexdigest()}
     http, blank, payload = block.partition(b"\r\n\r\n")
-    length = _headers(http.split(b"\r\n")[1:], where).get("content-length", "")
-    declared = headers.get("warc-payload-digest", "").removeprefix("sha256:")
-    if not blank or not http.startswith(b"HTTP/") or not length.isdigit():
-        raise ArchiveError(f"{where}: no HTTP head with a length")
+    if not blank or not http.startswith(b"HTTP/"):
+        raise ArchiveError(f"{where}: no HTTP head")
+    fields = _headers(http.split(b"\r\n")[1:], where)
+    # A transfer coding makes the declared length one of another form of the payload.
+    length = None if "transfer-encoding" in fields else fields.get("content-length")
+    if length is not None and not length.isdigit():
+        raise ArchiveError(f"{where}: HTTP length {length}")
+    declared = headers.get("warc-payload-digest", "")
     if out["type"] == "revisit":
-        if payload or not out["refers_to"]:
+        if payload or not (out["refers_to"] or "warc-refers-to-target-uri" in headers):
             raise ArchiveError(f"{where}: a revisit needs a reference and no payload")
-        return out | {"size": int(length), "digest": declared}
-    if int(length) != len(payload):
+        return out | {"size": None if length is None else int(length), "digest": declared.removeprefix("sha256:") or None}
+    if length is not None and int(length) != len(payload):
         raise ArchiveError(f"{where}: HTTP length {length}, payload of {len(payload)}")
-    digest = hashlib.sha256(payload).hexdigest()
-    if declared and digest != declared:
+    if not agrees(declared, payload):
         raise ArchiveError(f"{where}: the payload's digest differs")
-    return out | {"payload": payload, "size": len(payload), "digest": digest}
+    return out | {"payload": payload, "size": len(payload), "digest": hashlib.sha256(payload).hexdigest()}
 
 
 READ = "archive string, offset long, record_type string, record_id string, target_uri string, date string, refers_to string, payload_bytes long, payload_digest string, payload binary"

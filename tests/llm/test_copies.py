@@ -144,6 +144,17 @@ def test_repeated_passages(odd, odd_rows, p):
     assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == cut(rows, p.length)
 
 
+def test_rows_that_repeat_very_often(spark):
+    import time
+
+    text = " ".join(f"w{i * 7919 % 997}" for i in range(400))
+    rows = spark.range(5000).selectExpr("7L doc_id", f"'{text}' text").union(spark.createDataFrame([(8, "head " + text), (9, "own " * 10)], "doc_id long, text string"))
+    start = time.time()
+    got = Counter((r.doc_id, len(r.kept)) for r in without_repeats(rows).select("own.doc_id", "kept").collect())
+    assert got == {(7, 0): 5000, (8, 5): 1, (9, 40): 1}
+    assert time.time() - start < 90
+
+
 def test_cut_text_drops_broken_characters(spark):
     docs = spark.createDataFrame([(1, "é" + "b" * 50), (2, "ÿ" * 3 + "b" * 50)], "doc_id long, text string")
     got = {r.doc_id: r.kept for r in without_repeats(docs, Repeats(length=20, gram=8), as_text=True).select("own.doc_id", "kept").collect()}

@@ -35,6 +35,23 @@ def test_bpe_pieces_are_cut_safely():
     assert bpe.decode_ids(np.array([255, 200], "<u4").tobytes(), enc) == enc.decode_bytes([255, 200])
 
 
+@pytest.mark.parametrize("text", [" ", "\n", "a", "abc", "\n \t", "#!", "'", "é", "😂", "漢字", "1"])
+def test_bpe_of_matches_in_parts(text):
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    for text in (text * 4000, text * 4000 + "x", "x" + text * 4000 + " y"):
+        assert np.frombuffer(bpe.encode_text(text, enc, 500), "<u4").tolist() == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("letter", [" ", "\n", "a"])
+def test_bpe_of_five_million_characters(letter):
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    ids = bpe.encode_text(letter * 5_000_000, enc)
+    assert bpe.decode_ids(ids, enc) == letter.encode() * 5_000_000
+    # What an even run settles to, from runs that the library takes whole.
+    more = len(enc.encode_ordinary(letter * 20_480)) - len(enc.encode_ordinary(letter * 10_240))
+    assert abs(len(ids) / 4 - more * 5_000_000 / 10_240) < 100
+
+
 def test_packing(odd, odd_rows):
     from tokenizers import Tokenizer
 
@@ -132,11 +149,69 @@ def test_archives_with_a_dictionary(spark, sf_dir):
     for r in archives.collect():
         with open(r.path.removeprefix("file:"), "rb") as file:
             first.append(struct.unpack("<I", file.read(4))[0])
-    assert warc.DICTIONARY_FRAME in first  # an archive of few records has none
+    assert set(first) == {warc.DICTIONARY_FRAME}
     got = {r.page: bytes(r.payload).decode() for r in warc.read_archives(spark, archives).select(warc.page_of("record_id").alias("page"), "payload").collect()}
     assert got == {r.page_id: r.html or "" for r in pages.collect()}
 
 
+def test_small_archives_have_a_dictionary(spark):
+    for n in (1, 2, 7):
+        pages = spark.createDataFrame([(i, None, "x" * i) for i in range(n)], "page_id long, url string, html string").coalesce(1)
+        archives = warc.write_archives(pages, new_folder(spark, "warc"))
+        with open(archives.first().path.removeprefix("file:"), "rb") as file:
+            assert struct.unpack("<I", file.read(4))[0] == warc.DICTIONARY_FRAME
+        assert sorted(r.payload_bytes for r in warc.read_archives(spark, archives).collect()) == list(range(n))
+
+
+def test_the_query_writes_dictionaries(spark, tmp_path):
+    from branchledger.llm.queries import QUERIES
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert QUERIES["op2_warc"](spark, "/root/testdata/sf0.01").count() == 250
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    archives = list(tmp_path.glob("warc-*/*.warc.zst"))
+    assert archives
+    for path in archives:
+        with open(path, "rb") as file:
+            assert struct.unpack("<I", file.read(4))[0] == warc.DICTIONARY_FRAME
+
+
+def test_reader_takes_archives_of_other_writers():
+    import base64
+    import io
+
+    payload = b"<p>text</p>"
+    sha1 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html;\r\n charset=utf-8\r\n\r\n" + payload
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nWARC-Payload-Digest: {}\r\nContent-Length: " + f"{len(block)}\r\n\r\n"
+    for digest, fine in ((f"sha1:{sha1}", True), ("sha1:" + hashlib.sha1(payload).hexdigest(), True), ("sha1:" + "A" * 32, False), ("blake9:zz", True), ("md5:00", False)):
+        data = head.format(digest).encode() + block + b"\r\n\r\n"
+        if fine:
+            got = warc.parse(data, "x")
+            assert got["payload"] == payload and got["digest"] == hashlib.sha256(payload).hexdigest()
+        else:
+            with pytest.raises(warc.ArchiveError, match="digest"):
+                warc.parse(data, "x")
+    revisit = warc.record(2, None, b"long", "0" * 64, 1, "d").replace(b"sha256:" + b"0" * 64, b"sha1:abc").replace(b"Content-Length: 4\r\n", b"Server: x y\r\n")
+    length = len(revisit.split(b"\r\n\r\n", 1)[1]) - 4
+    revisit = re.sub(rb"(?<=response\r\nContent-Length: )\d+", b"%d" % length, revisit)
+    got = warc.parse(revisit, "x")
+    assert (got["type"], got["size"], got["digest"], got["refers_to"]) == ("revisit", None, "sha1:abc", "<urn:x-page:1>")
+    data = head.format("x:y").encode() + block + b"\r\n\r\n"
+    skip = struct.pack("<II", 0x184D2A53, 70_000) + b"s" * 70_000
+    frame = zstandard.compress(data)
+    stream = frame + skip + frame + struct.pack("<II", 0x184D2A5D, 0) + frame
+    assert [d for _, d in warc.frames(io.BytesIO(stream), "x")] == [data] * 3
+    assert [d for _, d in warc.frames(io.BytesIO(skip + stream), "x", buffer=7)] == [data] * 3
+    with pytest.raises(warc.ArchiveError, match="more than"):
+        list(warc.frames(io.BytesIO(frame), "x", most=50))
+    with pytest.raises(warc.ArchiveError, match="cut short"):
+        list(warc.frames(io.BytesIO(frame + skip[:-1]), "x"))
+
+
 def test_reader_refuses_broken_archives(tmp_path):
     import io
 
@@ -222,6 +297,13 @@ def test_licences(spark, odd, odd_rows, empty):
     assert licenses.scan(empty, licenses.train(empty)).collect() == []
 
 
+def test_licence_sample_of_any_number_of_rows(spark):
+    for rows in (0, 1, 10**6, 2 * 10**10, 10**15):
+        place = F.lit((1 << 30) - 1) / F.lit(1 << 30)
+        kept = spark.range(1).where(place < licenses.share(2 * licenses.Scan().sample, rows)).count()
+        assert kept == (rows <= 2 * licenses.Scan().sample)
+
+
 def test_licence_templates_are_recognised():
     model = licenses.fit([], licenses.Scan())
     for family, own in licenses.TEMPLATES.items():
