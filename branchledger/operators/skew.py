@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from branchledger.functions.local import config_table
 
@@ -35,12 +35,15 @@ def copies(n: Column | int) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))
 
 
+def within_broadcast(spark: SparkSession, size: int) -> bool:
+    """Whether so many bytes are under the session's broadcast threshold."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return not limit.startswith("-") and size <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer, by its own estimate of ``df``, may broadcast it in this session."""
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return not limit.startswith("-") and int(size) <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return within_broadcast(df.sparkSession, df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def skewed_lookup_join(

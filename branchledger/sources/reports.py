@@ -2,31 +2,47 @@
 
 Exports carry title rows above the header and a total row below the data. The header is the
 first row of a file that holds every header of the layout, and columns are found in it by name:
-their order, further columns and blank title rows do not matter, a file without such a row fails
-the job. Large files are still read in splits: a row is placed by (byte offset of its split,
-running id inside the split), and only the header and the last position per file are aggregated.
+their order and number, further columns and blank title rows do not matter, a file without such a
+row fails the job. Large files are still read in splits: a row is placed by (byte offset of its
+split, running id inside the split). Per file one row of *edges* is aggregated: where the header
+is, at which place it has each column, and where the file ends; the data rows look up their file's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType
 
 from branchledger.functions.local import config_table
+from branchledger.operators.skew import within_broadcast
 from branchledger.sources.schemas import Layout
 
 FILE, BLOCK, ROW = "__file", "__block", "__row"
-# Cells read of a row; a header that fills them all fails the job.
-CELLS = 64
 TEMP_PREFIX = "~$"
+#: A cell behind its comma, in quotes or not; a record of a file whose cells may hold line breaks.
+CELL = r',("(?:[^"]++|"")*+"|[^,]*+)'
+RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+")++'
+#: Bytes of a file's edges at most, for the decision to broadcast them.
+EDGE_BYTES = 1024
 
 
 def _file_name():
     return F.url_decode(F.col("_metadata.file_name"))
 
 
+def split_cells(line: Column) -> Column:
+    """The cells of a line, as many as it has: blank ones null, quotes taken off."""
+    quoted = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1)),
+        lambda x: F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(F.nullif(x, F.lit(""))),
+    )
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
+
+
 def read_report(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -41,30 +57,41 @@ def read_report(
     splittable, so each is read by one task. The header must lie in the first split of a file.
     A cell of a number column that is neither blank nor a number fails the job.
     """
-    names = [f"c{i}" for i in range(CELLS)]
-    reader = spark.read.schema(", ".join(f"{c} string" for c in names)).option("multiLine", multiline)
+    reader = spark.read
     if only is not None:
         reader = reader.option("pathGlobFilter", "{" + ",".join(only) + "}")
+    read = reader.text(path, wholetext=multiline)
+    line: Column = F.col("value")
+    if multiline:
+        line = F.explode(F.regexp_extract_all("value", F.lit(RECORD), F.lit(0)))
     raw = (
-        reader.option("escape", '"')
-        .csv(path)
-        .select(
-            F.array(*names).alias("__cells"),
+        read.select(
+            line.alias("__line"),
             F.col("_metadata.file_path").alias(FILE),
             _file_name().alias("__name"),
             F.col("_metadata.file_block_start").alias(BLOCK),
-            F.monotonically_increasing_id().alias(ROW),
         )
-        .filter(~F.col("__name").startswith(TEMP_PREFIX))
+        .filter(~F.col("__name").startswith(TEMP_PREFIX) & (F.col("__line") != ""))
+        .withColumn(ROW, F.monotonically_increasing_id())
     )
     wanted = list(dict.fromkeys(layout.columns.values()))
-    trimmed = F.transform("__cells", lambda cell: F.trim(cell))
-    found = F.size(F.array_intersect(trimmed, F.array(*[F.lit(h) for h in wanted]))) == len(wanted)
-    edges = raw.groupBy(FILE).agg(
-        F.min(F.when(found, F.struct(BLOCK, ROW, trimmed.alias("cells")))).alias("__header"),
-        F.max(F.struct(BLOCK, ROW)).alias("__last"),
+    # The header's words are looked for in the plain line before any cell is cut out of one.
+    likely = reduce(and_, [F.contains("__line", F.lit(h)) for h in wanted if '"' not in h], F.lit(True))
+    trimmed = F.transform(split_cells(F.col("__line")), lambda x: F.trim(F.translate(x, "\ufeff", "")))
+    places = F.transform(F.array(*[F.lit(h) for h in wanted]), lambda h: F.array_position(trimmed, h).cast("int"))
+    found = F.when(likely, F.when(F.forall(places, lambda x: x > 0), places))
+    edges = (
+        raw.withColumn("__places", found)
+        .groupBy(F.col(FILE).alias("__edge_file"))
+        .agg(
+            F.min(F.when(F.col("__places").isNotNull(), F.struct(BLOCK, ROW, "__places"))).alias("__header"),
+            F.max(F.struct(BLOCK, ROW)).alias("__last"),
+        )
     )
-    placed = raw.join(edges.withColumnRenamed(FILE, "__edge_file"), F.col(FILE) == F.col("__edge_file"))
+    # One row per file: the listing that Spark has made tells how many there are.
+    if within_broadcast(spark, len(read.inputFiles()) * EDGE_BYTES):
+        edges = F.broadcast(edges)
+    placed = raw.join(edges, F.col(FILE) == F.col("__edge_file"))
     header = F.col("__header")
     below = (F.col(BLOCK) > header[BLOCK]) | (
         (F.col(BLOCK) == header[BLOCK]) & (F.col(ROW) > header[ROW] + layout.skip_first)
@@ -72,16 +99,13 @@ def read_report(
     if layout.footer:
         below = below & (F.struct(BLOCK, ROW) < F.col("__last"))
     missing = F.concat(F.lit("no row with the headers " + ", ".join(wanted) + " in "), F.col(FILE))
-    wide = F.concat(F.lit(f"more than {CELLS - 1} columns in "), F.col(FILE))
-    body = placed.filter(
-        F.when(header.isNull(), F.raise_error(missing))
-        .when(header["cells"][CELLS - 1].isNotNull(), F.raise_error(wide))
-        .otherwise(below)
+    body = placed.filter(F.when(header.isNull(), F.raise_error(missing)).otherwise(below)).withColumn(
+        "__cells", split_cells(F.col("__line"))
     )
 
     def cell(name: str, kind: DataType) -> Column:
-        at = F.array_position(header["cells"], layout.columns[name]).cast("int") - 1
-        value = F.get("__cells", at)
+        at = header["__places"][wanted.index(layout.columns[name])] - 1
+        value = F.nullif(F.get("__cells", at), F.lit(""))
         if isinstance(kind, StringType):
             return value.alias(name)
         number = value.try_cast(kind)

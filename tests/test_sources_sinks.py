@@ -49,6 +49,21 @@ def test_report_skips_first_data_row(spark, tmp_path, rows):
     assert rows(read_report(spark, str(tmp_path), layout)) == [("1", "x"), ("2", "y")]
 
 
+def test_report_of_very_many_columns(spark, tmp_path, rows):
+    """More columns than any fixed number, the wanted ones last; rows shorter and longer than the header."""
+    names = [f"extra {i}" for i in range(150)] + list(REPORT.columns.values())
+    cells = [str(i) for i in range(150)]
+    lines = [",".join(names), ",".join([*cells, "1", '"x, ""y"""']), ",".join([*cells, "2"]), ",".join([*cells, "3", "z", "more", "cells"]), ",".join(['""', *cells[1:], " 4 ", ""])]
+    write(tmp_path / "a.csv", "\ufefftitle\n\n" + "\r\n".join(lines) + "\n")
+    assert rows(read_report(spark, str(tmp_path), REPORT._replace(footer=False))) == [(" 4 ", None), ("1", 'x, "y"'), ("2", None), ("3", "z")]
+
+
+def test_report_edges_are_broadcast_and_rows_stay_where_they_are(spark, tmp_path):
+    write(tmp_path / "a.csv", report_text([("1", "x")]))
+    plan = read_report(spark, str(tmp_path), REPORT)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # of the edges
+
+
 def test_report_with_line_breaks_in_cells(spark, tmp_path, rows):
     write(tmp_path / "a.csv", report_text([("1", "x\ny"), ("2", "z")]))
     assert rows(read_report(spark, str(tmp_path), REPORT, multiline=True)) == [("1", "x\ny"), ("2", "z")]
