@@ -91,7 +91,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     ids = stream_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
-    return stream_bpe.as_decimal(stream_bpe.decode(ids, path)).select(
+    return stream_bpe.decode(ids, path, decimal_col="decimal").select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("decimal", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )

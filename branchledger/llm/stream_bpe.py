@@ -30,6 +30,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -45,10 +46,16 @@ from branchledger.llm.common import releasing
 #: White space as the tokenizers' regular expressions know it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _LAST_SPACE = regex.compile(f"[{_SPACE}]", regex.REVERSE)
+_RUN = regex.compile(f"[^{_SPACE}]+")
+_MORE = re.compile("[\x1c-\x1f]")
 #: A character that later ones cannot change and that changes none before it.
 _STARTER = regex.compile(r"[^\p{M}ᅠ-ᇿ]", regex.REVERSE)
 
 
+#: Small numbers, each behind a space, as fixed-width text.
+_NUMBERS = np.char.add(b" ", np.arange(1 << 16).astype("S"))
+
+
 class Unsupported(ValueError):
     """A tokenizer file asks for something that the transducer does not do."""
 
@@ -64,6 +71,9 @@ def byte_glyphs() -> list[str]:
 _NONE = 1 << 62
 
 
+_BYTE_OF = {glyph: byte for byte, glyph in enumerate(byte_glyphs())}
+
+
 class Merges:
     """A merge list over token ids, and the lookahead that suffices for it."""
 
@@ -203,7 +213,9 @@ class Vocabulary:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, longest_first))) if self.added else None
         self.held_back = max(map(len, self.added), default=1) - 1
-        self.most, self.known = most, {}
+        self.most, self.known, self.words = most, {}, {}
+        # Texts of ids, for decoding: by place where the vocabulary has no gap to speak of.
+        self.by_id = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
 
     def normalised(self, text: str) -> str:
         if not text.isascii():
@@ -211,24 +223,40 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()  # words hold no white space, so its runs may stay as they are
 
-    def ids_of(self, words: list[str]) -> bytes:
-        """Ids of whole words; those met before come from memory, the others go through the transducer."""
+    def ids_of(self, runs: list[str]) -> bytes:
+        """Ids of runs without white space; those met before come from memory."""
         known, long = self.known, []
-        new = set(words).difference(known)
+        new = set(runs).difference(known)
         if new:
             if len(known) + len(new) > self.most:
                 known.clear()
-                new = set(words)
-            for word in new:
-                one = WordTransducer(self.merges)
-                known[word] = array("I", one.feed(word.encode()) + one.finish()).tobytes()
-                if len(word) > 64:
-                    long.append(word)
-        out = b"".join(map(known.__getitem__, words))
-        for word in long:
-            del known[word]
+                new = set(runs)
+            for run in new:
+                known[run] = b"".join(map(self._word, self.word.findall(run)))
+                if len(run) > 64:
+                    long.append(run)
+        out = b"".join(map(known.__getitem__, runs))
+        for run in long:
+            del known[run]
         return out
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a whole word, through the transducer once and then from memory."""
+        found = self.words.get(word)
+        if found is None:
+            one = WordTransducer(self.merges)
+            found = array("I", one.feed(word.encode()) + one.finish()).tobytes()
+            if len(self.words) >= self.most:
+                self.words.clear()
+            if len(word) <= 64:
+                self.words[word] = found
+        return found
+
+    @staticmethod
+    def runs_of(text: str) -> list[str]:
+        """Runs without white space, which no word leaves. Python's splits at more than these do."""
+        return text.split() if not _MORE.search(text) else _RUN.findall(text)
+
 
 class Encoder:
     """Text in pieces in, ids out, as little-endian unsigned 32-bit integers."""
@@ -291,7 +319,7 @@ class Encoder:
             yield from self._open_run()
 
     def _words(self, text: str) -> Iterator[bytes]:
-        if own := self.v.word.findall(text):
+        if own := self.v.runs_of(text):
             yield self.v.ids_of(own)
 
     def _open_run(self) -> Iterator[bytes]:
@@ -328,20 +356,24 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.started = vocabulary, False
         self.bytes = codecs.getincrementaldecoder("utf-8")("replace")
-        self.of = {g: b for b, g in enumerate(byte_glyphs())}
 
     def feed(self, ids: Iterable[int]) -> str:
-        own = [t for t in map(self.v.tokens.get, ids) if t is not None]
         if not self.v.joined:
-            return self.bytes.decode(b"".join(self._raw(t) for t in own))
-        if not own:
+            return self.bytes.decode(b"".join(self._raw(t) for t in self._known(ids)))
+        try:
+            text = " ".join(map(self.v.by_id.__getitem__, ids))
+        except (IndexError, TypeError):  # ids that the vocabulary lacks
+            text = " ".join(self._known(ids))
+        if not text:
             return ""
-        text = " ".join(own)
         first, self.started = not self.started, True
         return text if first else " " + text
 
+    def _known(self, ids: Iterable[int]) -> list[str]:
+        return [t for t in map(self.v.tokens.get, ids) if t is not None]
+
     def _raw(self, token: str) -> bytes:
-        found = [self.of.get(g) for g in token]
+        found = [_BYTE_OF.get(g) for g in token]
         return token.encode() if None in found else bytes(found)
 
     def finish(self) -> str:
@@ -368,14 +400,18 @@ def decode_ids(ids: bytes, v: Vocabulary, piece: int = 1 << 15) -> str:
 
 def decimal(ids: bytes) -> bytes:
     """Ids as decimal numbers parted by spaces."""
-    return " ".join(map(str, np.frombuffer(ids, "<u4").tolist())).encode()
+    own = np.frombuffer(ids, "<u4")
+    if not own.size or own.max() >= _NUMBERS.size:
+        return " ".join(map(str, own.tolist())).encode()
+    text = _NUMBERS[own].view(np.uint8)  # each filled up with zeros
+    return text[text > 0].tobytes()[1:]
 
 
-def mapped(df: DataFrame, source: str, target: str, kind: str, convert) -> DataFrame:
-    """``df`` with a column of the Spark type ``kind``, binary or string, made from another."""
-    df = df.drop(target)
+def mapped(df: DataFrame, source: str, **targets) -> DataFrame:
+    """``df`` with columns made from another: name, and (Spark type, function); binary or string."""
+    df = df.drop(*targets)
     i = df.columns.index(source)
-    arrow = {"binary": pa.binary(), "string": pa.string()}[kind]
+    arrow = {"binary": pa.binary(), "string": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,27 +419,30 @@ def mapped(df: DataFrame, source: str, target: str, kind: str, convert) -> DataF
             while at < n:  # pieces of bounded size
                 size, stop, out = 0, at, []
                 while stop < n and size < 8 << 20:
-                    out.append(convert(batch.column(i)[stop].as_py()))
-                    size += len(out[-1])
+                    value = batch.column(i)[stop].as_py()
+                    out.append([convert(value) for _, convert in targets.values()])
+                    size += sum(map(len, out[-1]))
                     stop += 1
                 part = batch.slice(at, stop - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, arrow)], names=[*part.schema.names, target])
+                made = [pa.array(column, arrow[kind]) for column, (kind, _) in zip(zip(*out), targets.values())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *targets])
                 at = stop
 
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(releasing(run), f"{own}, `{target}` {kind}")
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    return df.mapInArrow(releasing(run), ", ".join([*own, *(f"`{name}` {kind}" for name, (kind, _) in targets.items())]))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit integers."""
-    return mapped(docs, text_col, ids_col, "binary", lambda text: encode_text(text or "", vocabulary(path)))
-
+    return mapped(docs, text_col, **{ids_col: ("binary", lambda text: encode_text(text or "", vocabulary(path)))})
 
-def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``docs`` with the text that the ids stand for; null ids stand for none."""
-    return mapped(docs, ids_col, text_col, "string", lambda ids: decode_ids(ids or b"", vocabulary(path)))
 
+def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded", decimal_col: str | None = None) -> DataFrame:
+    """``docs`` with the text that the ids stand for; null ids stand for none.
 
-def as_decimal(docs: DataFrame, ids_col: str = "ids", out_col: str = "decimal") -> DataFrame:
-    """``docs`` with each row's ids as decimal numbers parted by spaces."""
-    return mapped(docs, ids_col, out_col, "binary", lambda ids: decimal(ids or b""))
+    ``decimal_col``: also a column of the ids as decimal numbers parted by spaces.
+    """
+    made = {text_col: ("string", lambda ids: decode_ids(ids or b"", vocabulary(path)))}
+    if decimal_col:
+        made[decimal_col] = ("binary", lambda ids: decimal(ids or b""))
+    return mapped(docs, ids_col, **made)

@@ -29,7 +29,7 @@ def ids_of(data):
 def test_stream_bpe_as_the_library(odd, odd_rows, empty, word_library):
     coded = stream_bpe.encode(odd, WORDS)
     assert coded.columns == [*odd.columns, "ids"]
-    got = stream_bpe.as_decimal(stream_bpe.decode(coded, WORDS)).collect()
+    got = stream_bpe.decode(coded, WORDS, decimal_col="decimal").collect()
     want = Counter()
     for i, text in odd_rows:
         ids = word_library.encode(text or "", add_special_tokens=False).ids
