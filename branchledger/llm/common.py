@@ -99,6 +99,23 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def collided(df: DataFrame, key: str, check: str, most: int = 10_000) -> list[int]:
+    """Values of ``key``, a 64-bit hash, that stand for more than one ``check``, another one.
+
+    A corpus of 5 * 10^10 has about 70. More than ``most`` are no chance and fail the job.
+    """
+    several = df.groupBy(key).agg(F.min(check).alias("least"), F.max(check).alias("most")).where("least <> most")
+    found = [r[0] for r in several.select(key).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {key} collide")
+    return found
+
+
+def told_apart(key: str, check: str, several: list[int]) -> Column:
+    """``key``, but where it stands for several things their ``check``."""
+    return F.when(F.col(key).isin(several), F.col(check)).otherwise(F.col(key)) if several else F.col(key)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """Strings of an Arrow column as UTF-8 bytes, nulls kept."""
     return column.cast(pa.large_binary()).to_pylist()
@@ -159,14 +176,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternating large-star and small-star rounds: every round replaces the edges by edges to
     smaller neighbours, a number of rounds logarithmic in the longest path. Each round groups
-    with map-side minima and joins back, so a node with very many neighbours is never gathered.
+    with map-side minima and joins them back. A node with very many neighbours is one key of that
+    join; both of its sides are shuffled for it, so adaptive execution can split the node's rows.
     Nodes without an edge to another node are absent from the result.
     """
+    # Always 0, but no constant to the optimizer: the minima's own partitioning does not fit the join.
+    def zero(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1)).alias("zero")
 
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
         # pairs (u, v): the neighbours v of u; larger star hangs only the larger neighbours.
-        lowest = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        joined = pairs.join(lowest, "u").withColumn("m", F.least("u", "m"))
+        lowest = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", "m", zero("m"))
+        joined = pairs.select("u", "v", zero("v")).join(lowest, ["u", "zero"]).withColumn("m", F.least("u", "m"))
         if larger:
             return joined.where("v > u").selectExpr("v a", "m b").distinct()
         hung = joined.selectExpr("v a", "m b").union(joined.selectExpr("u a", "m b"))
@@ -182,9 +203,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         both = edges.selectExpr("a u", "b v").union(edges.selectExpr("b u", "a v"))
         large = star(both, True)
         small = star(large.selectExpr("a u", "b v"), False)
-        edges = written(small, name)
+        last, edges = edges, written(small, name)
         before, now = now, size(edges)
-        if now == before:
+        # Equal sums tell of equal edges almost always; the comparison makes sure.
+        if now == before and edges.join(last, ["a", "b"], "left_anti").isEmpty():
             return edges.selectExpr("a node", "b root").union(
                 edges.selectExpr("b node", "b root").distinct()
             )

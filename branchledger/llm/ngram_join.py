@@ -2,7 +2,9 @@
 
 Two documents link when ``intersection / union >= num / den`` of their shingle sets.
 
-* Documents with equal sets are one set from here on; a set is named by a 64-bit digest.
+* Documents with equal sets are one set from here on, named by 64 bits of a digest. Names that
+  stand for several sets, by another 64 bits, are found first and replaced by those. A task gives a
+  set's keys once, however many copies it meets.
 * A *light* set enumerates fixed-size subsets: a partner of size m shares at least
   ``ceil(num * m / den)`` shingles, so both list all their subsets of that size as keys.
 * A *heavy* set looks through inverted lists. Only the lists of its rarest
@@ -13,7 +15,8 @@ Two documents link when ``intersection / union >= num / den`` of their shingle s
   in both sets bound an intersection; sets with no possible partner on a list leave it. A short
   list then compares its sets' parity
   bitmaps, whose difference is a lower bound of the sets' difference, so only pairs that cannot
-  link are dropped; a long list ties its sets to its first. That yields groups of candidates,
+  link are dropped; a long list, in order of size, ties each set to the one before where their sizes
+  let them link, which joins all pairs that may. That yields groups of candidates,
   connected components found by star rounds. Groups are cut into blocks of bounded size; each
   pair of blocks scans the inverted lists of its own sets and counts every intersection exactly.
 
@@ -41,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchledger.llm.common import as_bytes, components, filter_bit, grouped, let_pass, passing, releasing, row_filter, written
+from branchledger.llm.common import as_bytes, collided, components, filter_bit, grouped, let_pass, passing, releasing, row_filter, told_apart, written
 from branchledger.llm.hashing import chunks, mix, shingle_sets
 
 
@@ -54,7 +57,7 @@ class Join:
     den: int = 100
     #: Counters of the sketch; its memory and its broadcast are fixed by this.
     counters: int = 1 << 22
-    #: Lists up to this length compare bitmaps of all their sets inside the task.
+    #: Lists up to this length compare bitmaps of all their sets inside the task; longer ones stream by.
     short_list: int = 64
     #: Shingles of one block of a candidate group.
     block: int = 1_000_000
@@ -79,8 +82,15 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _digest(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _digest(tokens: np.ndarray) -> tuple[int, int]:
+    """A set's name and another, independent one."""
+    both = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+    return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
+
+
+def _name(tokens: np.ndarray, several: frozenset[int]) -> int:
+    name, other = _digest(tokens)
+    return other if name in several else name
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -103,7 +113,7 @@ def _apart(a: bytes, b: bytes) -> int:
     return (x ^ y).bit_count()
 
 
-SCAN = "kind string, id long, n int, sid long, payload binary"
+SCAN = "kind string, id long, n int, sid long, other long, payload binary"
 
 
 def _scan(p: Join):
@@ -127,11 +137,13 @@ def _scan(p: Join):
                 held.extend(sets)
                 if sum(map(len, held)) > 1_000_000:
                     settle()
+                names = [_digest(s) if s.size else (None, None) for s in sets]
                 yield _rows(
                     ["doc"] * len(sets),
                     ids.slice(first, len(sets)).cast(pa.int64()),
                     [s.size for s in sets],
-                    [_digest(s) if s.size else None for s in sets],
+                    [name for name, _ in names],
+                    [other for _, other in names],
                     [_bitmap(s) if s.size else None for s in sets],
                 )
         settle()
@@ -140,15 +152,16 @@ def _scan(p: Join):
         for a in range(0, full.size, 128):
             some = full[a : a + 128].tolist()
             packed = [zlib.compress(np.minimum(blocks[i], 65535).astype("<u2").tobytes(), 1) for i in some]
-            yield _rows(["count"] * len(some), pa.array(some, pa.int64()), [0] * len(some), [None] * len(some), packed)
+            none = [None] * len(some)
+            yield _rows(["count"] * len(some), pa.array(some, pa.int64()), [0] * len(some), none, none, packed)
 
     return run
 
 
-def _rows(kind, ids, n, sid, payload) -> pa.RecordBatch:
+def _rows(kind, ids, n, sid, other, payload) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.string()), ids, pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(payload, pa.binary())],
-        names=["kind", "id", "n", "sid", "payload"],
+        [pa.array(kind, pa.string()), ids, pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(other, pa.int64()), pa.array(payload, pa.binary())],
+        names=["kind", "id", "n", "sid", "other", "payload"],
     )
 
 
@@ -192,8 +205,11 @@ def boundary(sizes: dict[int, int], list_length: float, p: Join) -> int:
     return best
 
 
-def _keys(p: Join, light: int, sketch):
-    """(key, sid, size and place) of every text: subsets if light, rarest shingles if heavy or next to it.
+def _keys(p: Join, light: int, sketch, several: frozenset[int], remembered: int = 500_000):
+    """(key, sid, size and place) of every set: subsets if light, rarest shingles if heavy or next to it.
+
+    A task gives them once a set as long as it remembers the set's name; equal texts that lie in
+    different tasks give them again.
 
     ``place`` is the shingle's rank in the set, 0 for a subset; it shares a number with the size.
     """
@@ -210,14 +226,17 @@ def _keys(p: Join, light: int, sketch):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = sketch.value
+        levels, met = sketch.value, set()
         for batch in batches:
             for _, part in chunks(as_bytes(batch.column(0))):
                 keys, sids, places = [], [], []
                 for tokens in shingle_sets(part, p.words):
                     n = tokens.size
-                    if not n:
+                    if not n or (name := _name(tokens, several)) in met:
                         continue
+                    if len(met) >= remembered:
+                        met.clear()
+                    met.add(name)
                     own = subsets(tokens) if n <= light else []
                     at = [np.zeros(sum(x.size for x in own), np.int64)]
                     if n > light or p.largest(n) > light:
@@ -227,7 +246,7 @@ def _keys(p: Join, light: int, sketch):
                         at.append(np.arange(k))
                     key = np.concatenate(own)
                     keys.append(key)
-                    sids.append(_digest(tokens))
+                    sids.append(name)
                     places.append((n << 32) + np.concatenate(at))
                 if keys:
                     lengths = [k.size for k in keys]
@@ -238,20 +257,25 @@ def _keys(p: Join, light: int, sketch):
 
 
 def _shared_keys(p: Join):
-    """From rows sorted by key and set: members of short shared lists, ties of long ones.
+    """From rows sorted by key, size, place and set: members of short shared lists, ties of long ones.
 
-    Holds ``short_list`` sets at most; a longer list is passed on as it streams by.
+    Holds ``short_list`` sets at most; a longer list is passed on as it streams by. Sets that may
+    link have sizes that may, and so have all neighbours between them in order of size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last, held, hub = None, None, [], None
+        key, last, held, end = None, None, [], None
         out: tuple[list, list, list] = ([], [], [])
 
         def put(k, a, n) -> None:
             out[0].append(k), out[1].append(a), out[2].append(n)
 
+        def tie(one, two) -> None:
+            if p.den * (one[1] >> 32) >= p.num * (two[1] >> 32):
+                put(one[0], two[0], -1)
+
         def close() -> None:
-            if hub is None and len(held) > 1:
+            if end is None and len(held) > 1:
                 own = sorted((place >> 32, place & 0xFFFFFFFF, sid) for sid, place in held)
                 stay = [False] * len(own)
                 for y, (m, j, _) in enumerate(own):
@@ -285,18 +309,19 @@ def _shared_keys(p: Join):
             for k, s, place in zip(keys[at].tolist(), sids[at].tolist(), places[at].tolist()):
                 if k != key:
                     close()
-                    key, last, held, hub = k, None, [], None
+                    key, last, held, end = k, None, [], None
                 if s == last:
                     continue
                 last = s
-                if hub is not None:
-                    put(hub, s, -1)
+                if end is not None:
+                    tie(end, (s, place))
+                    end = s, place
                     continue
                 held.append((s, place))
                 if len(held) > p.short_list:
-                    hub = held[0][0]
-                    for other, _ in held[1:]:
-                        put(hub, other, -1)
+                    end = held[-1]
+                    for one, two in zip(held, held[1:]):
+                        tie(one, two)
             if len(out[0]) >= 50_000:
                 yield batch_out()
         close()
@@ -347,7 +372,7 @@ def _may_link(p: Join):
     return run
 
 
-def _sets(p: Join, wanted):
+def _sets(p: Join, wanted, several: frozenset[int]):
     """Digest and bytes of the sets of texts that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +380,7 @@ def _sets(p: Join, wanted):
             kept = batch.filter(pa.array(passing(wanted.value, batch.column(0).to_numpy())))
             for _, part in chunks(as_bytes(kept.column(1))):
                 sets = [s for s in shingle_sets(part, p.words) if s.size]
-                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sid", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([_name(s, several) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sid", "tokens"])
 
     return run
 
@@ -436,7 +461,9 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned = written(texts.mapInArrow(releasing(_scan(p)), SCAN), "ngram-scan")
-    rows = scanned.where("kind = 'doc'").select("id", "n", "sid", "payload")
+    rows = scanned.where("kind = 'doc'").select("id", "n", "sid", "other", "payload")
+    several = collided(rows.where("sid is not null"), "sid", "other")
+    rows, several = rows.withColumn("sid", told_apart("sid", "other", several)).drop("other"), frozenset(several)
 
     sketch = _sketch(scanned, p)
     small = {r.n: r.c for r in rows.where(f"n between 1 and {p.most_light}").groupBy("n").agg(F.count("*").alias("c")).collect()}
@@ -445,10 +472,10 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     light = boundary(small, float(np.mean(2.0 ** (rare / 8.0) - 1)), p)
 
     ranks = spark.sparkContext.broadcast(sketch)
-    keys = texts.select("text").mapInArrow(releasing(_keys(p, light, ranks)), "key long, sid long, place long")
+    keys = texts.select("text").mapInArrow(releasing(_keys(p, light, ranks, several)), "key long, sid long, place long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = written(
-        keys.repartition(parts, "key").sortWithinPartitions("key", "sid")
+        keys.repartition(parts, "key").sortWithinPartitions("key", "place", "sid")
         .mapInArrow(_shared_keys(p), "key long, sid long, n int"),
         "ngram-shared",
     )
@@ -470,7 +497,7 @@ def jaccard_classes(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col:
     ranged = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(own, x) one, greatest(own, x) two))")
     # Sets of the members' first documents; others that slip through the filter fall to the join.
     wanted = spark.sparkContext.broadcast(row_filter(members, "first"))
-    found = texts.select(filter_bit("id").alias("bit"), "text").mapInArrow(releasing(_sets(p, wanted)), "sid long, tokens binary")
+    found = texts.select(filter_bit("id").alias("bit"), "text").mapInArrow(releasing(_sets(p, wanted, several)), "sid long, tokens binary")
     tokens = found.join(members, "sid")
     units = tokens.withColumn("unit", F.explode(ranged)).select("grp", "unit.one", "unit.two", "sid", "copies", "own", "tokens")
     linked = written(
@@ -501,11 +528,14 @@ def one_of_each(docs: DataFrame, p: Join, id_col: str = "doc_id", text_col: str
     smallest key of its content stays; rows that are equal in id and text stay or go together.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    keyed = docs.select(row, F.xxhash64(F.col(id_col), F.coalesce(text_col, F.lit("")), F.isnull(text_col)).alias("key"))
+    content = F.col(id_col), F.coalesce(text_col, F.lit("")), F.isnull(text_col)
+    keyed = docs.select(row, F.xxhash64(*content).alias("key"), F.xxhash64(F.lit(7), *content[::-1]).alias("other"))
+    several = collided(keyed.select("key", "other"), "key", "other")
+    keyed = keyed.withColumn("key", told_apart("key", "other", several)).drop("other")
     classes = jaccard_classes(keyed.select("key", F.col("row").getField(text_col).alias("text")), p, "key")
-    several = classes.where("n_links > 0").select("key", "component_id").distinct()
+    linked = classes.where("n_links > 0").select("key", "component_id").distinct()
     ids = keyed.select(F.col("key").alias("of"), F.col("row").getField(id_col).alias("id"))
-    members = written(several.join(ids, F.col("key") == F.col("of")).select("key", "component_id", "id").distinct(), "ngram-classes")
+    members = written(linked.join(ids, F.col("key") == F.col("of")).select("key", "component_id", "id").distinct(), "ngram-classes")
     order = F.struct(F.isnull("id").alias("unnamed"), "id", "key")
     stay = members.groupBy("component_id").agg(F.min(order).getField("key").alias("stay"))
     gone = written(members.join(stay, "component_id").where("key <> stay").select("key"), "ngram-gone")

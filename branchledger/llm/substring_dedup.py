@@ -18,6 +18,15 @@ at the same place, so windows need comparing only around equal anchors, about on
 An anchor's group holds its distinct contexts only, however many copies there are; a document's
 anchors are bounded by its length. Only documents with a repeated anchor are dealt.
 
+A *hot* anchor, such as a common line with ever different surroundings, is split over tasks. Two
+contexts share a window if they agree in ``length - gram`` bytes beside the anchor, ``i`` to its left
+and the rest to its right. So they agree, for one of ``parts`` steps of ``i``, in the step's bytes to the
+left and what the next step leaves to the right: a context goes to one group per step, keyed by
+these bytes, and every pair that shares a window meets in one of them.
+
+Equal contexts, most of what repeats, are found equal as they are counted, and two contexts are
+compared directly; sorting orders groups of three and more.
+
 Defined cases: null text is empty; matches never cross documents; a text shorter than ``length``
 is never cut; rows with equal ids are separate documents, and repeated rows repeat all their text;
 ids may be null; an empty table gives an empty result; other columns are kept and may have any
@@ -54,6 +63,10 @@ class Repeats:
     shallow: int = 8
     #: Up to so many contexts, an anchor's contexts are compared by pairs of neighbours in order.
     few: int = 24
+    #: Anchors of more rows than this are split, by so many steps; up to so many anchors, the hottest.
+    hot: int = 10_000
+    parts: int = 4
+    most_hot: int = 5_000
     #: Bytes handled at a time by the anchor search.
     chunk: int = 1 << 20
 
@@ -384,12 +397,45 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def group_keys(h: int, a: int, context: bytes, p: Repeats) -> list[int]:
+    """The groups of a hot anchor's context, one per step that it has bytes enough for."""
+    beside = p.length - p.gram
+    left, right = context[:a], context[a + p.gram :]
+    out = []
+    for k in range(p.parts):
+        on_left, on_right = k * beside // p.parts, beside - (k + 1) * beside // p.parts
+        if len(left) >= on_left and len(right) >= on_right:
+            key = b"%d|%d|" % (h, k) + left[len(left) - on_left :] + b"|" + right[:on_right]
+            out.append(int.from_bytes(xxhash.xxh3_64_digest(key), "little", signed=True))
+    return out
+
+
+def _parted(p: Repeats, hot: Broadcast):
+    """Contexts with the group they are compared in: their anchor's, or a hot anchor's parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 4096):
+            rows: list[int] = []
+            groups: list[int] = []
+            is_hot = np.isin(batch.column(0).to_numpy(), hot.value)
+            for i in np.flatnonzero(is_hot).tolist():
+                own = group_keys(*(batch.column(k)[i].as_py() for k in range(3)), p)
+                rows += [i] * len(own)
+                groups += own
+            plain = np.flatnonzero(~is_hot)
+            at = np.concatenate([plain, np.array(rows, np.int64)])
+            key = np.concatenate([batch.column(0).to_numpy()[plain], np.array(groups, np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.take(pa.array(at)).columns], names=["g", *batch.schema.names])
+
+    return run
+
+
 def _compare(p: Repeats):
-    """From rows sorted by anchor, the repeated windows of its contexts. Holds each of them once."""
+    """From rows sorted by group, the repeated windows of its contexts. Holds each of them once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        anchor, count = None, {}
+        group, anchor, count = None, None, {}
 
         def close() -> None:
             if sum(count.values()) < 2:
@@ -400,10 +446,10 @@ def _compare(p: Repeats):
                     rows.append((*_digest(anchor, a, c), first, end))
 
         for batch in batches:
-            for h, a, c, n in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                if h != anchor:
+            for g, h, a, c, n in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if (g, h) != (group, anchor):
                     close()
-                    anchor, count = h, {}
+                    group, anchor, count = g, h, {}
                 count[a, c] = count.get((a, c), 0) + n
             if len(rows) >= 20_000:
                 yield _ranges(rows)
@@ -473,9 +519,13 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     near = let_pass(keyed, wanted, "k1")
     hit = near.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
     both = written(hit.mapInArrow(releasing(_contexts(p)), CONTEXTS), "repeat-contexts")
+    contexts = both.where("context is not null").select("h", "a", "context", "copies")
+    # A sketch of fixed size that follows ten times as many anchors as it gives.
+    found = contexts.agg(F.expr(f"approx_top_k(h, {p.most_hot}, {10 * p.most_hot})").alias("top")).first().top or []
+    hot = spark.sparkContext.broadcast(np.array([x["item"] for x in found if x["count"] > p.hot], np.int64))
     windows = (
-        both.where("context is not null").select("h", "a", "context", "copies")
-        .repartition(parts, "h").sortWithinPartitions("h")
+        contexts.mapInArrow(_parted(p, hot), "g long, h long, a int, context binary, copies long")
+        .repartition(parts, "g").sortWithinPartitions("g", "h")
         .mapInArrow(releasing(_compare(p)), "x1 long, x2 long, first long, end long")
     )
     where = both.where("lo is not null").select("k1", "k2", "lo", "x1", "x2")

@@ -6,10 +6,10 @@ import re
 from collections import Counter
 
 import pytest
-from branchledger.llm.common import components
+from branchledger.llm.common import collided, components, told_apart
 from branchledger.llm.exact_dedup import deduplicated, equal_classes
 from branchledger.llm.ngram_join import Join, boundary, jaccard_classes, one_of_each
-from branchledger.llm.substring_dedup import Repeats, common, deep_shallow, without_repeats
+from branchledger.llm.substring_dedup import Repeats, common, deep_shallow, group_keys, without_repeats
 from pyspark.sql import functions as F
 
 
@@ -71,6 +71,25 @@ def test_join_counts_links_once_in_groups_of_few_large_sets(spark):
     assert got == linked_classes(rows, p.words, p.num, p.den)
 
 
+def test_join_of_very_many_equal_texts_and_a_star(spark):
+    """20,000 copies of a text and a hub that links to sets that do not link to each other."""
+    hub = [f"h{i}" for i in range(103)]
+    rows = spark.range(20_000).selectExpr("id + 1000 doc_id", f"'{' '.join(f'c{i}' for i in range(50))}' text")
+    star = [(0, " ".join(hub))] + [(i, " ".join([*hub, *(f"{i}x{k}" for k in range(9))])) for i in range(1, 60)]
+    got = jaccard_classes(rows.union(spark.createDataFrame(star, "doc_id long, text string")), Join(4, 90, 100))
+    counts = Counter((r.component_id, r.n_links) for r in got.collect())
+    assert counts == {(1000, 19_999): 20_000, (0, 59): 1, (0, 1): 59}
+
+
+def test_hashes_that_collide_are_told_apart(spark):
+    df = spark.createDataFrame([(1, 10), (1, 10), (2, 20), (2, 21), (3, 30)], "k long, c long")
+    assert collided(df, "k", "c") == [2]
+    assert sorted(r[0] for r in df.select(told_apart("k", "c", [2])).collect()) == [1, 1, 3, 20, 21]
+    assert sorted(r[0] for r in df.select(told_apart("k", "c", [])).collect()) == [1, 1, 2, 2, 3]
+    with pytest.raises(ValueError, match="collide"):
+        collided(df, "k", "c", most=0)
+
+
 def test_boundary_follows_cost():
     p = Join(4, 85, 100)
     sizes = dict.fromkeys(range(1, 17), 100)
@@ -136,7 +155,7 @@ def cut(rows, length):
     return out
 
 
-@pytest.mark.parametrize("p", [Repeats(), Repeats(length=40, gram=16, few=2, chunk=1000)])
+@pytest.mark.parametrize("p", [Repeats(), Repeats(length=40, gram=16, few=2, chunk=1000), Repeats(hot=0), Repeats(length=40, gram=16, hot=0, parts=7)])
 def test_repeated_passages(odd, odd_rows, p):
     rows = [(i, t) for i, t in odd_rows if t is None or len(t) < 100_000]
     few = odd.where("text is null or length(text) < 100000")
@@ -144,6 +163,38 @@ def test_repeated_passages(odd, odd_rows, p):
     assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == cut(rows, p.length)
 
 
+@pytest.mark.parametrize("p", [Repeats(60, 20, hot=5), Repeats(60, 20, hot=5, parts=1), Repeats(60, 20, hot=5, parts=40)])
+def test_a_line_in_ever_different_surroundings(spark, p):
+    """The same line with neighbours that agree for a few bytes, many or all, on either side."""
+    rng = random.Random(8)
+    line = "the common line of all documents, always the same"
+    sides = ["".join(rng.choice("abc ") for _ in range(90)) for _ in range(4)]
+    rows = []
+    for i in range(150):
+        left, right = rng.choice(sides), rng.choice(sides)
+        i_own, j_own = rng.randrange(91), rng.randrange(91)
+        own = "".join(rng.choice("xyz ") for _ in range(100))
+        rows.append((i, own[:50] + left[i_own:] + line + right[:j_own] + own[50:]))
+    got = without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), p)
+    got = got.select("own.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("gone"), F.size("spans").alias("s"), "kept").collect()
+    assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == cut(rows, p.length)
+
+
+def test_pairs_that_share_a_window_meet_in_a_group():
+    p, rng = Repeats(30, 10, parts=3), random.Random(9)
+    gram = b"0123456789"
+    for _ in range(3000):
+        def context():
+            left, right = ("".join(rng.choice("ab") for _ in range(rng.randrange(21))).encode() for _ in range(2))
+            return left, right
+        (l1, r1), (l2, r2) = context(), context()
+        if min(len(l1) + len(r1), len(l2) + len(r2)) < 20:
+            continue
+        i, j = common(l1[::-1], l2[::-1]), common(r1, r2)
+        one, two = (set(group_keys(5, len(x), x + gram + y, p)) for x, y in ((l1, r1), (l2, r2)))
+        assert one and two and (i + j < 20 or one & two)
+
+
 def test_rows_that_repeat_very_often(spark):
     import time
 
