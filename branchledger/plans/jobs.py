@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from branchledger import values as v
+from branchledger.functions.money import cents
 from branchledger.operators.checks import control_totals
 from branchledger.operators.periods import Calendar
 from branchledger.operators.stack import stack
 from branchledger.plans import dims, field_sales, inventory, ledger, targets
-from branchledger.sinks.files import export_files, read_ledger, write_ledger_month
-from branchledger.sinks.tables import build_table, stage_table, staged, upsert_table
+from branchledger.sinks.files import closing_years, export_files, read_ledger, write_ledger_month
+from branchledger.sinks.parts import part_of, upsert_parts
+from branchledger.sinks.tables import build_table, stage_table, staged
 from branchledger.sources import schemas
 from branchledger.sources.naming import report_headers
 from branchledger.sources.reports import (
@@ -41,10 +43,11 @@ def month_job(
     office_calendar: Calendar,
     exclude_codes: Sequence[str] = (),
 ) -> DataFrame:
-    """Build one month of the ledger, refresh the year table, return the year's totals.
+    """Build one month of the ledger, refresh the year tables, return the year's totals.
 
-    The month is written once and the year is read back from the partitioned ledger, not
-    from exports.
+    The month is written once. Rows belong to the year they close in, whatever run brought them: all
+    years that the run's rows close in, now or before a rerun, are refreshed from all runs of the
+    ledger, not from exports.
     """
     staff = read_staff(spark, staff_folder)
     head = read_offices(spark, report_folder, schemas.SALES, {v.HEAD_OFFICE: head_file})
@@ -55,12 +58,24 @@ def month_job(
             ledger.province_ledger(branches, staff, office_calendar, exclude_codes=exclude_codes),
         ]
     )
+    before = closing_years(spark, ledger_path, year, month)
     write_ledger_month(lines, ledger_path, year, month)
-    closed = ledger.ledger_year(read_ledger(spark, ledger_path, year), year).select(
-        *ledger.LEDGER_COLUMNS
+    for closed in sorted(before | closing_years(spark, ledger_path, year, month) | {year}):
+        year_job(spark, ledger_path, closed)
+    return control_totals(year_rows(spark, ledger_path, year))
+
+
+def year_rows(spark: SparkSession, ledger_path: str, year: int) -> DataFrame:
+    """Rows of all runs that close in a year; files without any are skipped by their statistics."""
+    return ledger.ledger_year(read_ledger(spark, ledger_path), year).select(*ledger.LEDGER_COLUMNS)
+
+
+def year_job(spark: SparkSession, ledger_path: str, year: int) -> dict[str, object]:
+    """Refresh one year's table; its row count and totals come from the write."""
+    revenue = {c: F.sum(cents(c)) for c in ("total_payment", "net_revenue")}
+    return stage_table(
+        year_rows(spark, ledger_path, year), f"sales_ledger{year}", headers=schemas.LEDGER_HEADERS, totals=revenue, keep_empty=True
     )
-    stage_table(closed, f"sales_ledger{year}", headers=schemas.LEDGER_HEADERS)
-    return control_totals(closed)
 
 
 def missing_reports(spark: SparkSession, folder: str, offices: Mapping[str, str]) -> DataFrame:
@@ -130,14 +145,18 @@ def read_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def warehouse_job(
     spark: SparkSession, folder: str, specs: Sequence[StagingSpec] = WAREHOUSE_SPECS
 ) -> None:
-    """Insert-or-update the order and warehouse tables from a drop of exports."""
+    """Insert-or-update the order and warehouse tables from a drop of exports.
+
+    They are kept by month of their timestamp; a drop rewrites the months that it touches.
+    """
     for spec in specs:
         rows = read_spec(spark, folder, spec)
         if not spec.key:
             stage_table(rows, spec.table)
             continue
         order = [] if spec.stamp is None or spec.stamp in spec.key else [spec.stamp]
-        upsert_table(spark, spec.table, rows, spec.key, order, log=spec.log)
+        part = None if spec.stamp is None else part_of(spec.stamp)
+        upsert_parts(spark, spec.table, rows, spec.key, order, part=part, log=spec.log)
 
 
 def dimension_job(

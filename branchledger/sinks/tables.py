@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from branchledger.operators.latest import replace_groups, upsert
+from branchledger.sinks.parts import PartedTable
 from branchledger.sources.naming import report_headers, stage_columns
 
 
@@ -14,19 +14,29 @@ def stage_table(
     df: DataFrame,
     table: str,
     schema: str = "stg",
-    mode: str = "overwrite",
     headers: dict[str, str] | None = None,
-) -> bool:
+    totals: Mapping[str, Column] | None = None,
+    keep_empty: bool = False,
+) -> dict[str, object]:
     """Write a staging table with normalised names; an empty frame writes nothing.
 
     ``headers`` turns the jobs' English names back into report headers first, so the
-    staged names are the de-accented report headers. Returns whether it wrote.
+    staged names are the de-accented report headers. Returns what was observed while writing:
+    ``n_rows`` and the aggregates of ``totals``, over the frame's own columns; nothing if the frame
+    was empty and left the table as it was (``keep_empty``: replaces it even then).
+
+    The frame runs once. Its rows are written beside the old ones and switched in afterwards.
     """
-    if df.isEmpty():
-        return False
-    named = stage_columns(report_headers(df, headers) if headers else df)
-    build_table(named, table, schema, mode)
-    return True
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[c.alias(n) for n, c in (totals or {}).items()])
+    named = stage_columns(report_headers(watched, headers) if headers else watched)
+    target = PartedTable(df.sparkSession, table, schema)
+    folders = target.write(named)
+    found = seen.get
+    if not found["n_rows"] and not keep_empty:
+        return {}
+    target.switch(folders, named)
+    return found
 
 
 def staged(df: DataFrame, table: str, schema: str = "stg") -> DataFrame:
@@ -39,36 +49,3 @@ def build_table(df: DataFrame, table: str, schema: str, mode: str = "overwrite")
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     df.write.mode(mode).format("parquet").saveAsTable(f"`{schema}`.`{table}`")
     return df.sparkSession.table(f"{schema}.{table}")
-
-
-def upsert_table(
-    spark: SparkSession,
-    table: str,
-    updates: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    schema: str = "stg",
-    log: bool = False,
-) -> None:
-    """Apply updates to a parquet table that has no MERGE; the first load is one as well.
-
-    With ``log`` the updates replace whole groups of ``keys`` and every line is kept.
-
-    The result goes to a new table first and replaces the old one by rename. A run that
-    died between the drop and the rename is completed by the next run.
-    """
-    name, fresh = f"`{schema}`.`{table}`", f"`{schema}`.`{table}__next`"
-
-    def swap_in() -> None:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-
-    if not spark.catalog.tableExists(f"{schema}.{table}"):
-        if not spark.catalog.tableExists(f"{schema}.{table}__next"):
-            build_table(updates.limit(0), table, schema)
-        else:
-            swap_in()
-    existing = spark.table(name)
-    merged = replace_groups(existing, updates, keys) if log else upsert(existing, updates, keys, order)
-    build_table(merged, f"{table}__next", schema)
-    spark.sql(f"DROP TABLE {name}")
-    swap_in()

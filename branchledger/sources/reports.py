@@ -72,7 +72,8 @@ def read_report(
             F.col("_metadata.file_block_start").alias(BLOCK),
         )
         .filter(~F.col("__name").startswith(TEMP_PREFIX) & (F.col("__line") != ""))
-        .withColumn(ROW, F.monotonically_increasing_id())
+        # Beside the running id no filter is pushed below, which would cut a line up again.
+        .withColumns({ROW: F.monotonically_increasing_id(), "__cells": split_cells(F.col("__line"))})
     )
     wanted = list(dict.fromkeys(layout.columns.values()))
     # The header's words are looked for in the plain line before any cell is cut out of one.
@@ -99,12 +100,13 @@ def read_report(
     if layout.footer:
         below = below & (F.struct(BLOCK, ROW) < F.col("__last"))
     missing = F.concat(F.lit("no row with the headers " + ", ".join(wanted) + " in "), F.col(FILE))
+    # Other rows have no places and so no values, in whatever order filters are applied.
     body = placed.filter(F.when(header.isNull(), F.raise_error(missing)).otherwise(below)).withColumn(
-        "__cells", split_cells(F.col("__line"))
+        "__at", F.when(below, header["__places"])
     )
 
     def cell(name: str, kind: DataType) -> Column:
-        at = header["__places"][wanted.index(layout.columns[name])] - 1
+        at = F.col("__at")[wanted.index(layout.columns[name])] - 1
         value = F.nullif(F.get("__cells", at), F.lit(""))
         if isinstance(kind, StringType):
             return value.alias(name)

@@ -86,6 +86,17 @@ def test_month_job_can_be_rerun(spark, month):
     assert [r[0] for r in codes.collect()] == ["HN1"]
 
 
+def test_rows_that_close_in_a_neighbouring_year_reach_its_table(spark, month):
+    run_month(spark, month)
+    rows = {r.ky_cong_no for r in spark.table("stg.sales_ledger2025").collect()}
+    assert rows == {"2025-12"}
+    # A rerun that closes nothing in 2025 any more empties that table, and keeps the other.
+    only = {"VP Vinh": OFFICE_CALENDAR["VP Vinh"]} | {d: [Closing(dt.date(2026, 1, 1), None, "2026-01")] for d in ("VP Vinh", "Bán Buôn HN")}
+    jobs.month_job(spark, str(month / "T1_2026"), str(month / "staff"), str(month / "ledger"), 2026, 1, "Ha Noi.csv", only, OFFICES, only)
+    assert spark.table("stg.sales_ledger2025").count() == 0
+    assert spark.table("stg.sales_ledger2026").count() == 5
+
+
 def test_missing_reports(spark, month):
     missing = jobs.missing_reports(spark, str(month / "T1_2026"), OFFICES).collect()
     assert [r.office for r in missing] == ["VP Nha Trang"]

@@ -3,10 +3,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from branchledger.session import shared_folder
 from branchledger.sinks.files import export_files, read_ledger, write_ledger_month
-from branchledger.sinks.tables import build_table, stage_table, staged, upsert_table
+from branchledger.sinks.parts import PartedTable, part_of, upsert_parts
+from branchledger.sinks.tables import build_table, stage_table, staged
 from branchledger.sources import schemas
 from branchledger.sources.naming import capitalize_columns, report_headers, stage_columns, staged_name
 from branchledger.sources.reports import (
@@ -181,18 +183,72 @@ def test_stage_table(spark, frame, rows):
     stage_table(frame("code string", ("2",)), "t_stage")
     assert rows(spark.table("stg.t_stage")) == [("2",)]
     assert rows(staged(df.limit(0), "t_none")) == []
+    assert rows(spark.table("stg.t_stage")) == [("2",)]
+    assert stage_table(frame("code string", ("2",)).limit(0), "t_stage", keep_empty=True) == {"n_rows": 0}
+    assert rows(spark.table("stg.t_stage")) == []
+
+
+def test_staging_runs_a_frame_once_and_sees_its_totals(spark, frame):
+    met = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    df = frame("`Mã` string, qty int", ("1", 2), ("2", 5)).mapInArrow(count, "`Mã` string, qty int")
+    assert stage_table(df, "t_seen", totals={"qty": F.sum("qty")}) == {"n_rows": 2, "qty": 7}
+    assert met.value == 2 and spark.table("stg.t_seen").columns == ["ma", "qty"]
+
+
+def files_of(spark, table):
+    parted = PartedTable(spark, table, part=part_of("d"))
+    return {n: sorted(r[0] for r in spark.read.parquet(f).select(F.input_file_name()).distinct().collect()) for n, f in parted.folders().items()}
+
+
+def test_upsert_rewrites_touched_months_only(spark, frame, rows):
+    schema = "k string, t int, d date, x string"
+    jan, feb, mar = (dt.date(2026, m, 5) for m in (1, 2, 3))
+
+    def load(*data, log=False):
+        upsert_parts(spark, "t_up", frame(schema, *data), ["k"], ["t"], part=part_of("d"), log=log)
+
+    load(("a", 1, jan, "old"), ("b", 1, feb, "keep"), (None, 1, None, "loose"))
+    assert rows(spark.table("stg.t_up")) == [("a", 1, jan, "old"), ("b", 1, feb, "keep"), (None, 1, None, "loose")]
+    before, reader = files_of(spark, "t_up"), spark.table("stg.t_up")
+    load(("a", 2, mar, "moved"))
+    after = files_of(spark, "t_up")
+    assert rows(spark.table("stg.t_up")) == [("a", 2, mar, "moved"), ("b", 1, feb, "keep"), (None, 1, None, "loose")]
+    assert set(after) == {"2026-02", "2026-03", "none"} and after["2026-02"] == before["2026-02"] and after["none"] == before["none"]
+    assert ("a", 1, jan, "old") in rows(reader)  # a reader that began before the switch
+    for _ in range(2):  # the same drop again changes nothing
+        load(("a", 1, jan, "older"), ("c", 1, feb, "add"))
+        assert rows(spark.table("stg.t_up")) == [("a", 2, mar, "moved"), ("b", 1, feb, "keep"), ("c", 1, feb, "add"), (None, 1, None, "loose")]
+    load(("c", 1, feb, "line 1"), ("c", 1, feb, "line 2"), log=True)
+    assert [r[3] for r in rows(spark.table("stg.t_up")) if r[0] == "c"] == ["line 1", "line 2"]
+    assert spark.sql("SHOW TBLPROPERTIES stg.t_up").where("key = 'parts_version'").first().value == "5"
+
+
+def test_upsert_that_dies_before_the_switch_changes_nothing(spark, frame, rows, monkeypatch):
+    schema = "k string, t int"
+    upsert_parts(spark, "t_dies", frame(schema, ("a", 1)), ["k"], ["t"])
+    with monkeypatch.context() as m:
+        m.setattr(PartedTable, "switch", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert_parts(spark, "t_dies", frame(schema, ("a", 2), ("b", 1)), ["k"], ["t"])
+    assert rows(spark.table("stg.t_dies")) == [("a", 1)]
+    upsert_parts(spark, "t_dies", frame(schema, ("a", 2), ("b", 1)), ["k"], ["t"])
+    assert rows(spark.table("stg.t_dies")) == [("a", 2), ("b", 1)]
 
 
-def test_upsert_table_resumes_after_a_lost_swap(spark, frame, rows):
-    schema = "k string, t int, x string"
-    upsert_table(spark, "t_up", frame(schema, ("a", 1, "old"), ("b", 1, "keep")), ["k"], ["t"])
-    upsert_table(spark, "t_up", frame(schema, ("a", 2, "new")), ["k"], ["t"])
-    assert rows(spark.table("stg.t_up")) == [("a", 2, "new"), ("b", 1, "keep")]
-    # The old table was dropped and the run died before the rename.
-    build_table(spark.table("stg.t_up"), "t_up__next", "stg")
-    spark.sql("DROP TABLE stg.t_up")
-    upsert_table(spark, "t_up", frame(schema, ("c", 1, "add")), ["k"], ["t"])
-    assert rows(spark.table("stg.t_up")) == [("a", 2, "new"), ("b", 1, "keep"), ("c", 1, "add")]
+def test_upsert_of_a_plain_table_and_of_new_columns(spark, frame, rows):
+    build_table(frame("k string, t int", ("a", 1)), "t_plain", "stg")
+    upsert_parts(spark, "t_plain", frame("k string, t int", ("b", 1)), ["k"], ["t"])
+    assert rows(spark.table("stg.t_plain")) == [("a", 1), ("b", 1)]
+    upsert_parts(spark, "t_plain", frame("k string, t int, n int", ("b", 2, 7)), ["k"], ["t"])
+    assert rows(spark.table("stg.t_plain").select("k", "t", "n")) == [("a", 1, None), ("b", 2, 7)]
+    upsert_parts(spark, "t_none", frame("k string, t int").limit(0), ["k"], ["t"])
+    assert rows(spark.table("stg.t_none")) == []
 
 
 def test_exports(spark, frame, tmp_path, rows):
@@ -213,6 +269,8 @@ def test_ledger_month_replaces_only_its_partition(spark, frame, tmp_path):
     write_ledger_month(frame(schema, (day, 5)), path, 2025, 1)
     got = read_ledger(spark, path, 2026)
     assert sorted(r.n for r in got.collect()) == [2, 3, 4]
+    write_ledger_month(frame(schema).limit(0), path, 2026, 1)
+    assert sorted(r.n for r in read_ledger(spark, path).collect()) == [2, 5]
     assert "PartitionFilters: [isnotnull(run_year" in got._jdf.queryExecution().executedPlan().toString()
 
 
