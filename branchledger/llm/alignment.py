@@ -43,11 +43,11 @@ _MARK = "▁"
 class Pieces:
     """Ids of texts with a space before them, by the sentencepiece library and a vocabulary of pieces.
 
-    Words met before come from memory, up to ``most``. A word whose pieces do not give back its
-    bytes is remembered as broken.
+    Words met before come from memory: up to ``most``, and as many older ones that come back as they
+    are met again. A word whose pieces do not give back its bytes is remembered as broken.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -58,7 +58,7 @@ class Pieces:
         self.bytes = [self._bytes(i, name) for i, name in enumerate(names)]
         self.size = np.array([len(b) for b in self.bytes])
         self.space = self.model.piece_to_id(_MARK)
-        self.most, self.known, self.broken = most, {}, set()
+        self.most, self.known, self.old, self.broken = most, {}, {}, set()
 
     def _bytes(self, i: int, name: str) -> bytes:
         if self.model.is_byte(i):
@@ -76,19 +76,21 @@ class Pieces:
     def ids(self, texts: list[str]) -> Iterator[bytes | None]:
         """Of each text, which starts with a space, its ids; None where they do not give back its bytes."""
         units = [_UNIT.findall(t) for t in texts]
+        if len(self.known) > self.most:
+            self.old, self.known = self.known, {}
+            self.broken = {u for u in self.broken if u in self.old}
         new = set().union(*units).difference(self.known)
         if new:
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                self.broken.clear()
-                new = set().union(*units)
-            self._learn(list(new))
+            again = {u for u in new if u in self.old}
+            self.known.update((u, self.old[u]) for u in again)
+            self._learn(list(new.difference(again)))
         find, broken = self.known.__getitem__, self.broken
         for own in units:
             yield None if broken and not broken.isdisjoint(own) else b"".join(map(find, own))
         for unit in new:  # long ones would fill the memory
             if len(unit) > 64:
                 del self.known[unit]
+                self.old.pop(unit, None)
                 self.broken.discard(unit)
 
 

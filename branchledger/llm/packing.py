@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from branchledger.llm.common import releasing, written
 
 #: White space that libraries disagree about; texts that hold any are tokenised in one go.
-_UNSURE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: White space and the word after it: no token spans two of these.
 _UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
@@ -43,19 +43,20 @@ class Tokens:
     """Ids of texts as little-endian unsigned 32-bit integers, by the tokenizers library.
 
     The ids of a word with its leading white space do not depend on what stands around it, so
-    those of words met before are kept, up to ``most`` words. ``literal``: added tokens in a text
-    are ordinary characters.
+    those of words met before are kept. Beyond ``most`` words the older half is kept aside, of
+    which words come back as they are met again. ``literal``: added tokens in a text are ordinary
+    characters.
     """
 
-    def __init__(self, path: str, most: int = 500_000, literal: bool = False):
+    def __init__(self, path: str, most: int = 300_000, literal: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_UNSURE, *([] if literal else map(re.escape, added))]))
-        self.most, self.known = most, {}
+        self.added = [] if literal else added
+        self.most, self.known, self.old = most, {}, {}
         # Byte-level tokens are written with one character a byte.
         self.size = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -87,6 +88,7 @@ class Tokens:
         wanted = units.difference(marked)
         wanted.update(u[:-1] for u in marked)
         wanted.update(u[-1] for u in marked)
+        known.update((u, self.old[u]) for u in wanted if u in self.old)
         wanted = {u for u in wanted if u not in known}
         spaced = [u for u in wanted if u[0] in " \t\n\x0b\x0c\r" and not u.isspace()]
         known.update(zip(spaced, self._encode_words(spaced)))
@@ -97,12 +99,14 @@ class Tokens:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """In order; texts of about a batch share one call of the library."""
-        units = [None if self.whole.search(t) else _UNIT.findall(t) for t in texts]
+        units = [None if _UNSURE.search(t) or any(a in t for a in self.added) else _UNIT.findall(t) for t in texts]
         if len(self.known) > self.most:
-            self.known.clear()
+            self.old, self.known = self.known, {}
         missing = set().union(*(own for own in units if own)).difference(self.known)
         if missing:
-            self._learn(missing)
+            again = {u for u in missing if u in self.old}
+            self.known.update((u, self.old[u]) for u in again)
+            self._learn(missing.difference(again))
         find = self.known.__getitem__
         for text, own in zip(texts, units):
             yield self._encode([text])[0] if own is None else b"".join(map(find, own))

@@ -191,7 +191,7 @@ _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
 class Vocabulary:
     """A tokenizer file of words with an end mark, and a bounded memory of words met before."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -213,7 +213,7 @@ class Vocabulary:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, longest_first))) if self.added else None
         self.held_back = max(map(len, self.added), default=1) - 1
-        self.most, self.known, self.words = most, {}, {}
+        self.most, self.known, self.old, self.words = most, {}, {}, {}
         # Texts of ids, for decoding: by place where the vocabulary has no gap to speak of.
         self.by_id = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
 
@@ -225,13 +225,14 @@ class Vocabulary:
 
     def ids_of(self, runs: list[str]) -> bytes:
         """Ids of runs without white space; those met before come from memory."""
+        if len(self.known) > self.most:
+            self.old, self.known = self.known, {}
         known, long = self.known, []
         new = set(runs).difference(known)
         if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = set(runs)
-            for run in new:
+            again = {run for run in new if run in self.old}
+            known.update((run, self.old[run]) for run in again)
+            for run in new.difference(again):
                 known[run] = b"".join(map(self._word, self.word.findall(run)))
                 if len(run) > 64:
                     long.append(run)
