@@ -106,7 +106,7 @@ class _Archive:
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.uri = f"{folder}/{self.name}"
         self.fs.create_dir(base, recursive=True)
-        self.out = self.fs.open_output_stream(f"{base}/{self.name}")
+        self.out = self.fs.open_output_stream(f"{base}/{self.name}", compression=None)  # the name would ask for one
         self.w, self.first, self.held, self.packer = w, [], 0, None
         self.records = self.size = 0
 
@@ -300,7 +300,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 fs, inner = pafs.FileSystem.from_uri(path)
-                with fs.open_input_stream(inner) as stream:
+                with fs.open_input_stream(inner, compression=None) as stream:
                     rows, held = [], 0
                     for offset, data in frames(stream, path):
                         r = parse(data, f"{path}, {offset}")

@@ -1,6 +1,7 @@
 """Operators that judge or convert each text by itself, archives and packing."""
 
 import hashlib
+import pathlib
 import random
 import re
 import struct
@@ -12,7 +13,7 @@ import public_tokenizers as P
 import pytest
 import zstandard
 from branchledger.llm import bpe, language_id, licenses, packing, quality_classifier, quality_rules, warc
-from branchledger.llm.common import new_folder, remainder
+from branchledger.llm.common import new_folder, remainder, shared_folder
 from pyspark.sql import functions as F
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -163,16 +164,13 @@ def test_small_archives_have_a_dictionary(spark):
         assert sorted(r.payload_bytes for r in warc.read_archives(spark, archives).collect()) == list(range(n))
 
 
-def test_the_query_writes_dictionaries(spark, tmp_path):
+def test_the_query_writes_dictionaries(spark):
     from branchledger.llm.queries import QUERIES
 
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert QUERIES["op2_warc"](spark, "/root/testdata/sf0.01").count() == 250
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
-    archives = list(tmp_path.glob("warc-*/*.warc.zst"))
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("warc-*/*.warc.zst"))
+    assert QUERIES["op2_warc"](spark, "/root/testdata/sf0.01").count() == 250
+    archives = set(folder.glob("warc-*/*.warc.zst")) - before
     assert archives
     for path in archives:
         with open(path, "rb") as file:
