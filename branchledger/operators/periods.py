@@ -3,16 +3,18 @@
 The closing calendar of a department is an ordered list of (start, end, period).
 A date up to and including ``start`` belongs to the month before ``period``, a date in
 ``(start, end]`` to ``period``, a date after the last ``end`` to the month after.
-The calendar is flattened into disjoint half-open intervals ``(after, until]`` and these into
-literal arrays over a grid of days, one stretch of cells a department: a row finds its cell by
-arithmetic and compares its date with the few bounds inside the cell. No join, no shuffle, no
-search: a period costs the same whatever the calendar holds.
+The calendar is flattened into disjoint half-open intervals ``(after, until]`` and these into one
+literal array with an entry for each day, a stretch per department: the department gives where its
+stretch begins, the date how far into it. No join, no shuffle, no search, and both columns occur
+once in the expression, so it stays small when filters are pushed through it. The array has as many
+entries as the closings span days, times departments.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,8 +22,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 OPEN_END = date(2099, 12, 31)
 FIRST_DAY, LAST_DAY = date(1, 1, 1), date(9999, 12, 31)
 
-#: Days of a cell of the grid, as a power of two. Monthly closings put one bound in a cell.
-CELL_BITS = 4
 EPOCH = date(1970, 1, 1)
 
 
@@ -60,66 +60,48 @@ def _months(day: date) -> int:
     return day.year * 12 + day.month - 1
 
 
-class Grid(NamedTuple):
-    """Cells of all departments in one row each: the month a cell starts in, then bounds and months."""
+class DayTable(NamedTuple):
+    """Months of all departments, day by day."""
 
-    base: dict[str, int]  # department -> number of its first cell
-    first: int  # cell of the calendar's earliest bound
-    width: int  # cells of a department
-    start: list[int]
-    steps: list[tuple[list[int], list[int]]]  # the k-th bound inside a cell, the month behind it
+    begins: dict[str, int]  # department -> its first entry
+    first: int  # day of the first entry of a stretch, from 1970
+    days: int  # entries of a stretch; the last one is for days behind an open end
+    least: int  # added to every entry
+    months: list[int]
 
 
-def grid(calendar: Calendar) -> Grid | None:
-    """The intervals as a grid from the first bound to the last; None without any rule.
+def day_table(calendar: Calendar) -> DayTable | None:
+    """The months that rules give to every day; None without any rule.
 
-    Months count from year 0, bounds are days since 1970. Before the first cell and behind the
-    last one holds what holds in these.
+    A stretch runs from the earliest to the latest bound of all departments. Days before it are like
+    its first, days behind it like the last but one, until the end that an open closing has.
     """
-    rules = {dept: intervals(closings) for dept, closings in calendar.items()}
-    bounds = {d: [((u - EPOCH).days, _months(m)) for _, u, m in rows] for d, rows in rules.items() if rows}
-    if not bounds:
+    rules = {dept: rows for dept, closings in calendar.items() if (rows := intervals(closings))}
+    if not rules:
         return None
-    inner = [day >> CELL_BITS for rows in bounds.values() for day, _ in rows[:-1]] or [0]
-    first, width = min(inner), max(inner) - min(inner) + 1
-    start: list[int] = []
-    inside: list[list[tuple[int, int]]] = []
-    for rows in bounds.values():
-        month = rows[0][1]
-        cells: list[list[tuple[int, int]]] = [[] for _ in range(width)]
-        for (day, _), (_, after) in zip(rows, rows[1:]):
-            cells[(day >> CELL_BITS) - first].append((day, after))
-        for cell in cells:
-            start.append(month)
-            month = cell[-1][1] if cell else month
-        inside.extend(cells)
-    deepest = max(map(len, inside))
-    never = (LAST_DAY - EPOCH).days
-    steps = [
-        ([c[k][0] if k < len(c) else never for c in inside], [c[k][1] if k < len(c) else 0 for c in inside])
-        for k in range(deepest)
-    ]
-    return Grid({d: i * width for i, d in enumerate(bounds)}, first, width, start, steps)
-
-
-def _literal(values: Sequence[int]) -> Column:
-    """An array that the optimizer folds to a constant."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+    inner = [until for rows in rules.values() for _, until, _ in rows if until < OPEN_END] or [EPOCH]
+    first, last = min(inner), max(inner) + timedelta(days=1)
+    months: list[int] = []
+    for rows in rules.values():
+        ends = [until for _, until, _ in rows]
+        days = [first + timedelta(days=i) for i in range((last - first).days + 1)] + [OPEN_END + timedelta(days=1)]
+        months.extend(_months(rows[bisect_left(ends, day)][2]) for day in days)
+    width, least = (last - first).days + 2, min(months)
+    return DayTable({d: i * width for i, d in enumerate(rules)}, (first - EPOCH).days, width, least, [m - least for m in months])
 
 
 def closing_months(dept: Column, posted: Column, calendar: Calendar) -> Column:
     """The month of a date by its department's rules, counted from year 0; null without a rule."""
-    table = grid(calendar)
+    table = day_table(calendar)
     if table is None:
         return F.lit(None).cast("int")
-    base = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.base.items() for x in pair]), dept)
+    begin = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.begins.items() for x in pair]), dept)
     days = F.unix_date(posted)
-    offset = F.greatest(F.lit(0), F.least(F.lit(table.width - 1), F.shiftright(days, CELL_BITS) - table.first))
-    cell = base + offset
-    month = F.get(_literal(table.start), cell)
-    for bounds, behind in table.steps:
-        month = F.when(days > F.get(_literal(bounds), cell), F.get(_literal(behind), cell)).otherwise(month)
-    return F.when(days > (FIRST_DAY - EPOCH).days, month)
+    inside = F.greatest(F.lit(0), F.least(F.lit(table.days - 2), days - table.first))
+    at = begin + inside + (days > (OPEN_END - EPOCH).days).cast("int")
+    # Plain text, which the optimizer turns into a constant array.
+    months = F.split(F.lit(",".join(map(str, table.months))), ",").cast("array<int>")
+    return F.get(months, at) + table.least
 
 
 def assign_period(

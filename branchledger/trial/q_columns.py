@@ -85,22 +85,19 @@ query("strict_casts", """SELECT voucher_no, product_code, CAST(strptime(posting_
                        F.col("vat").cast("double").alias("vat"), F.col("unit_price").cast("bigint").alias("unit_price"))
 )
 
-query("month_label_key", """, labels AS (
- SELECT label, employee_name FROM target_matrix,
- (VALUES ('Tháng 1'), ('Tháng 12'), ('Tháng 3, 1999'), ('Tổng'), ('Ghi chú'), ('Tháng, x')) AS t(label))
-SELECT label, CASE WHEN label = 'Tổng' THEN label
- WHEN contains(label, ',') THEN CASE WHEN regexp_matches(label, 'Tháng\\s*\\d+,\\s*\\d+')
-   THEN regexp_extract(label, 'Tháng\\s*(\\d+),\\s*(\\d+)', 2) || '-' || lpad(regexp_extract(label, 'Tháng\\s*(\\d+),\\s*(\\d+)', 1), 2, '0') END
- WHEN contains(label, 'Tháng') THEN '2026-' || lpad(regexp_extract(label, '(\\d+)', 1), 2, '0') END AS period,
- count(*) AS n FROM labels GROUP BY ALL""", ("target_matrix",))(lambda m: _month_labels(m))
-
-
-def _month_labels(matrix: DataFrame) -> DataFrame:
-    labels = ["Tháng 1", "Tháng 12", "Tháng 3, 1999", "Tổng", "Ghi chú", "Tháng, x"]
-    long = matrix.select(F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
-    return long.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn(
+# Labels as people write them, from order dates; some orders give malformed ones, some the total's.
+MONTH_LABEL = """CASE WHEN o_orderkey % 11 = 0 THEN 'Tổng' WHEN o_orderkey % 13 = 0 THEN 'Ghi chú ' || month(o_orderdate)
+ WHEN o_orderkey % 17 = 0 THEN 'Tháng, ' || o_orderpriority WHEN o_orderkey % 2 = 0 THEN 'Tháng ' || month(o_orderdate)
+ WHEN o_orderkey % 3 = 0 THEN 'Tháng  ' || month(o_orderdate) || ',  ' || year(o_orderdate)
+ ELSE 'Tháng ' || month(o_orderdate) || ', ' || year(o_orderdate) END"""
+
+query("month_label_key", f"""SELECT {MONTH_LABEL} AS label, CASE
+ WHEN o_orderkey % 11 = 0 THEN 'Tổng' WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL
+ WHEN o_orderkey % 2 = 0 THEN '2026-' || strftime(o_orderdate, '%m') ELSE strftime(o_orderdate, '%Y-%m') END AS period,
+ count(*) AS n FROM orders GROUP BY ALL""", ("orders",))(
+    lambda o: o.groupBy(F.expr(MONTH_LABEL).alias("label")).agg(F.count(F.lit(1)).alias("n")).withColumn(
         "period", P.month_label_key(F.col("label"), 2026))
-
+)
 
 query("month_parts", """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n
 FROM orders GROUP BY ALL""", ("orders",))(
@@ -123,8 +120,8 @@ FROM customers""", ("customers",))(
         blank_first=True).alias("owner"))
 )
 
-query("regex_suffix_clean", f"""SELECT employee_code, replace(regexp_replace({S.titled('employee_name', S.INITCAP)},
- ' TN$| Bb$| \\.$|\\.$|-T$', '', 'g'), ' Tn', '') AS employee_name FROM field_staff""", ("field_staff",))(
+query("regex_suffix_clean", f"SELECT employee_code, {S.tagless(S.titled('employee_name', S.INITCAP))} AS employee_name FROM field_staff",
+      ("field_staff",))(
     lambda f: f.select("employee_code", T.drop_name_tags(
         T.title_words(F.col("employee_name")), v.DIM_NAME_TAIL, v.DIM_NAME_ANYWHERE).alias("employee_name"))
 )

@@ -39,10 +39,9 @@ query("product_yoy", f"""{HEAD},
 y AS (SELECT product_code, closing_year, sum({DEC.format('net_revenue')}) AS revenue FROM head
  WHERE closing_year IS NOT NULL GROUP BY ALL)
 SELECT a.product_code, CAST(a.closing_year AS INTEGER) AS closing_year, CAST(a.revenue AS DOUBLE) AS revenue, CAST(b.revenue AS DOUBLE) AS last_year,
- round(CAST(a.revenue - b.revenue AS DOUBLE) / CAST(nullif(b.revenue, 0) AS DOUBLE), 4) AS growth
+ round(CAST(a.revenue - b.revenue AS DOUBLE) / CAST(nullif(b.revenue, 0) AS DOUBLE), 6) AS growth
 FROM y a LEFT JOIN y b ON a.product_code = b.product_code AND a.closing_year = b.closing_year + 1""", LINES)(
-    lambda s, st: M.product_yoy(head(s, st)).withColumn("growth", F.round(
-        F.try_divide((F.col("revenue") - F.col("last_year")).cast("double"), F.col("last_year").cast("double")), 4))
+    lambda s, st: M.product_yoy(head(s, st))
 )
 
 TOTALS = f"""t AS (SELECT dept, period, sum({DEC.format('net_revenue')}) AS actual FROM head WHERE period IS NOT NULL GROUP BY ALL),
@@ -51,13 +50,12 @@ k AS (SELECT dept, period FROM t UNION SELECT dept, period FROM g WHERE target I
 
 query("targets_vs_actual", f"""{HEAD}, {LONG}, {TOTALS}
 SELECT k.dept, k.period, CAST(t.actual AS DOUBLE) AS actual, CAST(p.actual AS DOUBLE) AS last_year,
- CAST(g.target AS DOUBLE) AS target, round(CAST(t.actual AS DOUBLE) / CAST(nullif(g.target, 0) AS DOUBLE), 4) AS attainment
+ CAST(g.target AS DOUBLE) AS target, round(CAST(t.actual AS DOUBLE) / CAST(nullif(g.target, 0) AS DOUBLE), 6) AS attainment
 FROM k LEFT JOIN t ON t.dept IS NOT DISTINCT FROM k.dept AND t.period = k.period
 LEFT JOIN t p ON p.dept IS NOT DISTINCT FROM k.dept
  AND CAST(CAST(left(p.period, 4) AS INT) + 1 AS VARCHAR) || substr(p.period, 5) = k.period
 LEFT JOIN g ON g.dept IS NOT DISTINCT FROM k.dept AND g.period = k.period""", (*LINES, "target_matrix"))(
-    lambda s, st, m: M.dept_attainment(head(s, st), q_dims.company(m)).withColumn("attainment", F.round(
-        F.try_divide(F.col("actual").cast("double"), F.col("target").cast("double")), 4))
+    lambda s, st, m: M.dept_attainment(head(s, st), q_dims.company(m))
 )
 
 query("branch_overview", f"""{HEAD} SELECT dept, CAST(sum({DEC.format('net_revenue')}) AS DOUBLE) AS net_revenue,

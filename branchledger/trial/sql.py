@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from branchledger import values as v
 from branchledger.operators.periods import Calendar, Closing
 from branchledger.trial.inputs import DISTRIBUTORS, OFFICES
 
@@ -165,3 +166,8 @@ def both_ledgers() -> str:
     prov = province_ledger()
     prov = prov[prov.index("typed AS"):].replace("typed AS", "typed_p AS", 1).replace("FROM typed t", "FROM typed_p t")
     return f"{head_ledger()}, {prov}, ledger AS (SELECT * FROM head UNION ALL SELECT * FROM prov)"
+
+
+def tagless(name: str) -> str:
+    """A name without the ending that dimensions cut off, and without the tag they drop anywhere."""
+    return f"replace(regexp_replace({name}, '{v.DIM_NAME_TAIL}', ''), '{v.DIM_NAME_ANYWHERE}', '')"

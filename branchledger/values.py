@@ -1,7 +1,7 @@
 """Business vocabulary that results must carry unchanged.
 
-Jobs take these as arguments; a company passes its own lists. Where a list needs
-people, the names are invented.
+They are the defaults of the jobs' arguments; a company passes its own lists. Names of people and
+codes of partners are those that the rules are stated with.
 """
 
 from __future__ import annotations
@@ -68,7 +68,8 @@ DEPT_BY_EXACT_NAME = [
 OTHER_DEPT = "Khác"
 NAME_SUFFIXES = [" TN", " Bb", ".", "-T", " ."]
 NAME_RECODE = {"Tạ Thị ABC": "Tạ Thị ABC (tk new)"}
-DIM_NAME_TAIL = r"( TN| Bb|\.|-T| \.)$"
+#: The same endings where a dimension cuts them off a name.
+DIM_NAME_TAIL = "(" + "|".join(suffix.replace(".", r"\.") for suffix in NAME_SUFFIXES) + ")$"
 DIM_NAME_ANYWHERE = " Tn"
 
 # --- Fixed values: customer types --------------------------------------------------

@@ -78,16 +78,17 @@ def test_period_needs_no_join(spark):
     assert "Join" not in plan and "Exchange" not in plan and "split(" not in plan
 
 
-def test_several_bounds_in_a_cell(spark):
-    """Closings a few days apart, dates far outside of them and the calendar's own bounds."""
+def test_closings_a_few_days_apart(spark):
+    """And dates far outside of them, and behind an open end."""
     rng = random.Random(3)
     day, closings = date(2024, 1, 1), []
     for i in range(60):
         end = day + timedelta(days=rng.randint(1, 4))
         closings.append(Closing(day, end, f"{2020 + i // 12}-{i % 12 + 1:02d}"))
         day = end + timedelta(days=rng.randint(0, 2))
-    calendar = {"d": closings, "short": [Closing(date(1999, 5, 2), date(1999, 5, 3), "1999-05")]}
-    days = [date(2023, 12, 1) + timedelta(days=i) for i in range(300)] + [date(1970, 1, 1), date(1901, 3, 4), date(2500, 1, 1), date(9999, 12, 31)]
+    calendar = {"d": closings, "short": [Closing(date(1999, 5, 2), date(1999, 5, 3), "1999-05")],
+                "open": [Closing(date(1999, 5, 2), None, "1999-05")]}
+    days = [date(2023, 12, 1) + timedelta(days=i) for i in range(300)] + [date(1970, 1, 1), date(1901, 3, 4), date(2099, 12, 31), date(2100, 1, 1), date(2500, 1, 1), date(9999, 12, 31)]
     df = spark.createDataFrame([(d, x) for d in calendar for x in days], "dept string, posting_date date")
     for r in assign_period(df, calendar, fallback=None).collect():
         assert r.period == loop(calendar[r.dept], r.posting_date, None).strftime("%Y-%m"), r
