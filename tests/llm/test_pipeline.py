@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from branchledger.llm.queries import ORACLES, QUERIES
+from pyspark.sql import functions as F
 from test_copies import cut, linked_classes, normal
 
 
@@ -42,12 +43,20 @@ def test_stages_of_odd_rows(spark, odd, empty, sf_dir):
     assert docs.count() > 0
 
 
+def test_quality_stage_keeps_columns_that_have_its_names(spark, odd, sf_dir):
+    docs = odd.withColumns({"quality_score": F.lit("own"), "score_": F.lit(7)})
+    got = corpus_pipeline.quality(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    rows = Counter(map(tuple, docs.collect()))
+    assert not Counter(map(tuple, got.collect())) - rows
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, sf_dir, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, sf_dir)

@@ -125,6 +125,43 @@ def test_rules_verdict_by_brute_force():
             assert measured[f"covered_{n}"][i] == sum(len(w[k]) for k in inside)
 
 
+def test_rules_kept_by_brute_force():
+    """Line share, symbol share and n-gram coverage each decide for some texts."""
+    rng, limits = random.Random(5), quality_rules.Limits()
+    texts = []
+    for i in range(400):
+        lines = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(2, 9))]
+        for _ in range(rng.randrange(4) if i % 2 else 0):
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice(lines))
+        texts.append("\n".join(lines) + "".join(rng.choice(" #*$%&|<>x") for _ in range(rng.choice([0, 5, 40]))))
+    measured = quality_rules.measure([t.encode() for t in texts], limits)
+    failed, kept = quality_rules.verdicts(measured, limits)
+    reasons = Counter()
+    for i, text in enumerate(texts):
+        w = text.split()
+        chars, seen, doubled = sum(map(len, w)), set(), 0
+        for line in text.split("\n"):
+            if line in seen:
+                doubled += len("".join(line.split()))
+            elif line.strip():
+                seen.add(line)
+        count = Counter(tuple(w[j : j + 8]) for j in range(len(w) - 7))
+        inside = {k for j in range(len(w) - 7) if count[tuple(w[j : j + 8])] > 1 for k in range(j, j + 8)}
+        base = len(w) < limits.least_words or 100 * len(inside) > limits.repeat_words * len(w)
+        lines, symbols = doubled > limits.line_chars * chars, sum(c in "#*$%&|<>" for c in text) > limits.symbols * len(w)
+        grams = False
+        for n, share in limits.covered:
+            met, covered = set(), set()
+            for j in range(len(w) - n + 1):
+                if tuple(w[j : j + n]) in met:
+                    covered.update(range(j, j + n))
+                met.add(tuple(w[j : j + n]))
+            grams |= sum(len(w[k]) for k in covered) > share * chars
+        assert failed[i] == base and kept[i] == (not (base or lines or symbols or grams))
+        reasons[base, lines, symbols, grams] += 1
+    assert {(False, True, False, False), (False, False, True, False), (False, False, False, False)} <= set(reasons)
+
+
 def test_archives(spark):
     big = "é<p>" * 60
     rows = [(5, "u", big), (3, None, big), (9, "a b\r\nx", big), (1, "v", None), (2, "w", ""), (4, "z", "tiny"), (6, "z", "tiny"), (None, "n", big), (3, "again", big)]
@@ -236,6 +273,28 @@ def test_quality_classifier_holds_out(spark):
     assert all(r.score >= 0.5 for r in rows if r.quality == 1) or sum(r.score < 0.5 for r in rows if r.quality == 1) < 0.02 * len(rows)
 
 
+def test_quality_scores_by_brute_force():
+    """Features from plain compressors, weights and score by the formula."""
+    rng = random.Random(6)
+    good = [" ".join(rng.choice(["river", "stone", "walks", "under", "slowly", "a", "the"]) for _ in range(80)).encode() for _ in range(60)]
+    bad = [" ".join(rng.choice(["click", "buy", "now", "free", "!!!", "win"]) for _ in range(80)).encode() for _ in range(60)]
+    f = quality_classifier.Fitting(dictionary_bytes=2048, block=100)
+    model = quality_classifier.fit(good, bad, 0.5, f)
+    texts = [b"", b"the river", *good[50:], *bad[50:], b"x" * 1000]
+    got = model.scorer().scores(texts)
+    for text, score in zip(texts, got):
+        sizes = []
+        for data in (model.good, model.bad):
+            packer = zstandard.ZstdCompressor(level=f.level, dict_data=zstandard.ZstdCompressionDict(data), write_content_size=False)
+            sizes.append(sum(len(packer.compress(text[a : a + 100])) for a in range(0, max(1, len(text)), 100)))
+        a, b = sizes
+        n = max(1, len(text))
+        raw = [(b - a) / (a + b), (b - a) / n, a / n]
+        x = [(min(max(v, lo), hi) - m) / s for v, lo, hi, m, s in zip(raw, model.low, model.high, model.mean, model.spread)]
+        assert abs(score - 1 / (1 + np.exp(-(sum(w * v for w, v in zip(model.weights, x)) + model.weights[3])))) < 0.02
+    assert got[2:12].min() > 0.9 and got[12:22].max() < 0.1
+
+
 def test_quality_scores_of_odd_texts(spark, odd, odd_rows, empty):
     labels = spark.createDataFrame([(4, 1), (5, 0), (5, 1), (None, 1), (7, None)], "doc_id long, quality int")
     model = quality_classifier.train(odd, labels, F.lit(True))
