@@ -29,7 +29,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality_classifier.train(docs.select("doc_id", "text"), labels, remainder("doc_id", 3) != 1)
-    return quality_classifier.score(docs, model, score_col="quality_score").where(F.col("quality_score") >= LEAST_SCORE).select(docs.columns)
+    score = "score"
+    while score.lower() in {c.lower() for c in docs.columns}:  # a column of that name stays the documents' own
+        score += "_"
+    return quality_classifier.score(docs, model, score_col=score).where(F.col(score) >= LEAST_SCORE).select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
