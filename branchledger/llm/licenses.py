@@ -6,11 +6,12 @@ nor one among other lines is missed. Marks that begin comment lines are blanked
 Sparse word 1- and 2-grams go through a multinomial logistic regression with a class for each
 licence family and one for everything else. Its probabilities are calibrated on examples held out
 of the fit, by a temperature and by a limit for the unknown class that at most ``false_share`` of
-the corpus examples pass. A passage that the model takes for a licence is compared with the
-templates of every family. A family counts where the passage shares enough word 3-grams with one of
+the corpus examples pass. The families that the model ranks first for a passage it takes for a licence
+are its candidates; comparison with the templates, of every family, confirms them. A candidate counts where the passage shares enough word 3-grams with one of
 its templates, unless another family's template agrees as well or better on the same words; so one
 passage may declare several families, and words common to several decide for none, unless a passage
-with more of the notice does. A passage that holds no word of a family that counts is reported as
+with more of the notice does. What the templates find but the model ranks lower does not count. A
+passage that holds no word of a family that counts is reported as
 unconfirmed, a line's passage only if none of its paragraph's is that holds it.
 
 The examples are made from the templates (cut, with words dropped, with other text around them),
@@ -113,6 +114,8 @@ class Scan:
     step: int = 24
     #: Share of the 3-grams of the shorter of passage and template that must be common to both.
     confirmed: float = 0.8
+    #: Families that are candidates for a passage, by the model's probabilities.
+    candidates: int = 5
     #: Documents to take corpus examples from, lines of each, and their longest.
     sample: int = 2000
     lines: int = 4
@@ -225,7 +228,10 @@ class Model:
         for text, own in passed.items():
             row, sure = out[text], set()
             found = [m for i in own for m in matches(w.hashed[first[i] : stop[i]].tolist(), int(first[i]), i, self.scan.confirmed)]
+            likely = {i: {self.families[k] for k in np.argsort(-p[i, :-1])[: self.scan.candidates].tolist()} for i in own}
             for m in decided(found):
+                if m.family not in likely[m.passage]:
+                    continue
                 row["families"].add(m.family)
                 row["score"] = max(row["score"], float(p[m.passage, self.families.index(m.family)]))
                 sure |= m.words

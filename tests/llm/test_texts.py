@@ -1,5 +1,6 @@
 """Operators that judge or convert each text by itself, archives and packing."""
 
+import dataclasses
 import hashlib
 import pathlib
 import random
@@ -368,6 +369,31 @@ def test_licence_templates_are_recognised():
             assert family in model.scan_texts([f"# {template}.".encode()])[0]["families"]
 
 
+def test_licences_are_candidates_of_the_model(spark):
+    """With fewer candidates than families nothing that the templates find is lost on whole documents.
+
+    Recall and false reports: every document with a line of a template's very words reports its family,
+    none without any word 3-gram of a template reports one.
+    """
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = licenses.train(docs)
+    texts = [r.text.encode() for r in docs.collect() if r.text]
+    few = model.scan_texts(texts)
+    every = dataclasses.replace(model, scan=dataclasses.replace(model.scan, candidates=len(licenses.TEMPLATES))).scan_texts(texts)
+    assert [r["families"] for r in few] == [r["families"] for r in every] and any(r["families"] for r in few)
+    none = dataclasses.replace(model, scan=dataclasses.replace(model.scan, candidates=0)).scan_texts(texts)
+    assert not any(r["families"] for r in none) and all(a["unconfirmed"] >= b["unconfirmed"] for a, b in zip(none, few))
+    grams = {tuple(w[i : i + 3]) for own in licenses.TEMPLATES.values() for t in own for w in [re.findall(r"[a-z0-9.]+", t.lower())] for i in range(len(w) - 2)}
+    for text, row in zip(texts, few):
+        plain = text.decode().lower()
+        w = re.findall(r"[a-z0-9.]+", plain)
+        held = [family for family, own in licenses.TEMPLATES.items() for t in own if t.lower() in plain and t.lower().count(" ") > 6]
+        if len(set(held)) == 1:
+            assert set(held) <= row["families"], plain
+        if grams.isdisjoint(zip(w, w[1:], w[2:])):
+            assert not row["families"], plain
+
+
 def test_licences_two_notices_in_a_line():
     model = licenses.fit([], licenses.Scan())
     two = [
