@@ -18,6 +18,7 @@ HOT_ROWS = 2_000_000
 NULL_SALTS = 1024
 #: Hot keys that are split at most, and keys that the sketch follows to find them.
 MOST_HOT, TRACKED = 1000, 10_000
+SKETCH_GROUPS = 1024
 HOT, SALT, PARTS = "__hot", "__salt", "__parts"
 
 
@@ -68,13 +69,15 @@ def heavy_keys(
 ) -> DataFrame:
     """Keys of about more than ``hot_rows`` rows, with the parts to cut each into, from a sketch.
 
-    The sketch has a fixed size, combines map-side and finds every key that holds more than about
-    1/``tracked`` of the rows, so the result is a local table of ``most`` rows at most. It is
-    computed when the plan is built.
+    A task's sketch has a fixed size; sketches are combined in groups first, so that no task reads
+    those of all. Every key that holds more than about 1/``tracked`` of the rows is found, and the
+    result is a local table of ``most`` rows at most. It is computed when the plan is built.
     """
     known = df.select(*keys).dropna().select(F.xxhash64(*keys).alias(HOT))
-    sketch = F.expr(f"approx_top_k({HOT}, {most}, {tracked})")
-    found = known.agg(sketch.alias("top")).select(F.inline("top"))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("group")
+    some = known.groupBy(group).agg(F.expr(f"approx_top_k_accumulate({HOT}, {tracked})").alias("sketch"))
+    top = some.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    found = top.select(F.expr(f"inline(approx_top_k_estimate(sketch, {most}))"))
     rows = [(r.item, -(-r["count"] // hot_rows)) for r in found.collect() if r["count"] > hot_rows]
     return config_table(df.sparkSession, rows, f"{HOT} long, {PARTS} long")
 
