@@ -520,9 +520,8 @@ def without_repeats(docs: DataFrame, p: Repeats = Repeats(), text_col: str = "te
     hit = near.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
     both = written(hit.mapInArrow(releasing(_contexts(p)), CONTEXTS), "repeat-contexts")
     contexts = both.where("context is not null").select("h", "a", "context", "copies")
-    # A sketch of fixed size that follows ten times as many anchors as it gives.
-    found = contexts.agg(F.expr(f"approx_top_k(h, {p.most_hot}, {10 * p.most_hot})").alias("top")).first().top or []
-    hot = spark.sparkContext.broadcast(np.array([x["item"] for x in found if x["count"] > p.hot], np.int64))
+    counted = contexts.groupBy("h").count().where(F.col("count") > p.hot).orderBy(F.desc("count"), "h").limit(p.most_hot)
+    hot = spark.sparkContext.broadcast(np.array([r.h for r in counted.select("h").collect()], np.int64))
     windows = (
         contexts.mapInArrow(_parted(p, hot), "g long, h long, a int, context binary, copies long")
         .repartition(parts, "g").sortWithinPartitions("g", "h")
