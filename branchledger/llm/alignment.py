@@ -214,7 +214,7 @@ def _blocks(path_a: str, path_b: str, block_bytes: int, batch_bytes: int):
             if held:
                 yield from _block(held)
         finally:
-            _pair.cache_clear()
+            pair.a.old, pair.b.old = {}, {}  # the worker's next task goes on with the newer words
 
     return run
 

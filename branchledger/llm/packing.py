@@ -48,7 +48,7 @@ class Tokens:
     characters.
     """
 
-    def __init__(self, path: str, most: int = 300_000, literal: bool = False):
+    def __init__(self, path: str, most: int = 400_000, literal: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -152,7 +152,7 @@ def piece_table(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id
                 columns = list(zip(*rows(batch))) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "piece", "start", "length", "ids_crc32"])
         finally:
-            _tokens.cache_clear()
+            _tokens(tokenizer_path).old = {}  # the worker's next task goes on with the newer words
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         releasing(run), "id long, piece int, start long, length long, ids_crc32 long"
