@@ -171,10 +171,41 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(open_run)
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def _stars(most: int):
+    """Edges to the smallest node of each component of a task's edges, ``most`` nodes at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root[up]
+            return x
+
+        def batch_out() -> pa.RecordBatch:
+            nodes = [x for x, up in root.items() if x != up]
+            made = pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["a", "b"])
+            root.clear()
+            return made
+
+        for batch in sliced(batches, 4096):
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x, y = find(a), find(b)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+            if len(root) >= most:
+                yield batch_out()
+        yield batch_out()
+
+    return run
+
+
+def components(edges: DataFrame, name: str = "components", most: int = 1 << 17) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: ``node, root``, root the smallest node.
 
-    Alternating large-star and small-star rounds: every round replaces the edges by edges to
+    Tasks first replace their own edges by stars, ``most`` nodes at a time. A graph that is left
+    with no more than half of ``most`` edges is one such piece. A larger one goes through
+    alternating large-star and small-star rounds: every round replaces the edges by edges to
     smaller neighbours, a number of rounds logarithmic in the longest path. Each round groups
     with map-side minima and joins them back. A node with very many neighbours is one key of that
     join; both of its sides are shuffled for it, so adaptive execution can split the node's rows.
@@ -196,8 +227,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     def size(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first())
 
-    edges = edges.where("a <> b").selectExpr("greatest(a, b) a", "least(a, b) b").distinct()
-    edges = written(edges, name)
+    def named(stars: DataFrame) -> DataFrame:
+        return stars.selectExpr("a node", "b root").union(stars.selectExpr("b node", "b root").distinct())
+
+    edges = written(edges.where("a <> b").select("a", "b").mapInArrow(_stars(most), "a long, b long"), name)
+    pieces = -(-edges.count() * 2 // most)
+    contracted = edges.coalesce(max(1, pieces)).mapInArrow(_stars(most), "a long, b long")
+    if pieces <= 1:
+        return named(written(contracted, name))
+    edges = written(contracted.distinct(), name)
     now = size(edges)
     while True:
         both = edges.selectExpr("a u", "b v").union(edges.selectExpr("b u", "a v"))
@@ -207,6 +245,4 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         before, now = now, size(edges)
         # Equal sums tell of equal edges almost always; the comparison makes sure.
         if now == before and edges.join(last, ["a", "b"], "left_anti").isEmpty():
-            return edges.selectExpr("a node", "b root").union(
-                edges.selectExpr("b node", "b root").distinct()
-            )
+            return named(edges)

@@ -6,6 +6,9 @@ first digit is the length with the first ``first_digit`` bytes; every further di
 digit a document is done if it is alone in its group or if its text has ended, for then the group
 is equal byte by byte; only the others go on, with the bytes not yet compared.
 
+Rounds after the first hold few of the rows; they are written by as many tasks as their rows and
+bytes, counted before, call for.
+
 A round counts groups with map-side combine and joins the counts back; a group that holds a third
 of all rows is just one row of the counts, and its members' side of the join can be split. The
 number of rounds grows with the logarithm of the longest repeated text.
@@ -40,6 +43,11 @@ def equal_classes(
     The digest is an output only. ``kept`` marks one row of each group.
     """
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def few(df: DataFrame, rows: int, size: int) -> DataFrame:
+        return df.coalesce(min(parts, 1 + rows // 20_000 + size // (16 << 20)))
+
     body = F.encode(normalised(F.col(text_col)), "utf-8")
     active = docs.select(F.col(id_col).alias("id"), body.alias("rest")).select(
         "id",
@@ -49,6 +57,7 @@ def equal_classes(
     )
     done: list[DataFrame] = []
     digit, round_ = first_digit, 0
+    n_docs = n_rows = n_bytes = 0
     while True:
         rows = active.withColumn("digit", F.substring("rest", 1, digit))
         groups = (
@@ -57,7 +66,7 @@ def equal_classes(
             .where("group_size > 1")
             .withColumn("next", F.monotonically_increasing_id())
         )
-        groups = written(groups, f"radix-groups-{round_}")
+        groups = written(few(groups, n_rows, n_bytes) if round_ else groups, f"radix-groups-{round_}")
         near, alone = rows, []
         if not round_:
             # Documents alone in their group, most of them in this round, are not shuffled.
@@ -81,16 +90,18 @@ def equal_classes(
         )
         for part in alone:
             split = split.unionByName(part)
-        split = written(split, f"radix-{round_}")
+        split = written(few(split, n_rows, n_bytes) if round_ else split, f"radix-{round_}")
         done.append(split.where("rest is null").drop("rest"))
         active = split.where("rest is not null").select("id", "rest", "text_sha256", F.col("next").alias("grp"))
-        if active.isEmpty():
+        n, n_rows, n_bytes = split.agg(F.count("*"), F.count("rest"), F.coalesce(F.sum(F.octet_length("rest")), F.lit(0))).first()
+        n_docs = n_docs or n
+        if not n_rows:
             break
         digit, round_ = digit * growth, round_ + 1
     result = done[0].withColumn("round", F.lit(0))
     for i, part in enumerate(done[1:], 1):
         result = result.unionByName(part.withColumn("round", F.lit(i)))
-    return _one_kept(result).withColumnRenamed("id", id_col)
+    return few(_one_kept(result), n_docs, 0).withColumnRenamed("id", id_col)
 
 
 def _one_kept(rows: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from branchledger.llm.common import collided, components, told_apart
@@ -115,6 +116,36 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
 
 
+def tables(spark, name):
+    """Folders of that name in the shared folder, with the number of part files in each."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return {p.name: len(list(p.glob("part-*"))) for p in folder.glob(f"{name}-*")}
+
+
+def test_components_of_few_edges_take_no_rounds(spark):
+    edges = [(i, i + 1) for i in range(400)] + [(1000 + i, 1000) for i in range(1, 60)] + [(7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    want = {**dict.fromkeys(range(401), 0), **dict.fromkeys(range(1000, 1060), 1000)}
+    assert {r.node: r.root for r in components(df, "few-edges").collect()} == want
+    assert len(tables(spark, "few-edges")) == 2
+    # More edges than a task holds go through the rounds.
+    assert {r.node: r.root for r in components(df, "more-edges", most=16).collect()} == want
+    assert len(tables(spark, "more-edges")) > 3
+    assert components(df.where("a = b"), "no-edges").collect() == []
+
+
+def test_rounds_of_few_rows_are_written_by_few_tasks(spark):
+    before = tables(spark, "radix-groups-1")
+    rows = [(i, "x" * 100 + str(i // 2) * 100) for i in range(60)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = equal_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == {(i, i // 2 * 2, 2) for i in range(60)}
+    assert [n for name, n in tables(spark, "radix-groups-1").items() if name not in before] == [1]
+
+
 def normal(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
 
