@@ -24,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,27 @@ from branchledger.llm.common import releasing, written
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: White space and the word after it: no token spans two of these.
 _UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+#: Of a longer run of white space, and of one at the end, more than the last may be one token.
+_RUN = re.compile(r"[ \n][ \n](?:[ \n]|\Z)")
+
+
+def _plain(text: str) -> bool:
+    """Whether no token spans a cut before any space or line end of the text."""
+    return not (any(c in text for c in "\t\v\f\r") or any(c in text for c in ("  ", " \n", "\n ", "\n\n")) and _RUN.search(text))
+
+
+def _cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Plain texts cut before spaces and line ends: distinct parts, which of them come, each text's end there."""
+    encoded = [t.encode() for t in texts]
+    lengths = np.array([len(e) for e in encoded], np.int64)
+    ends, joined = np.cumsum(lengths), b"".join(encoded)
+    data = np.frombuffer(joined, np.uint8)
+    starts = (data == 32) | (data == 10)
+    starts[(ends - lengths)[lengths > 0]] = True
+    at = np.flatnonzero(starts)
+    parts = pa.Array.from_buffers(pa.large_string(), at.size, [None, pa.py_buffer(np.append(at, data.size)), pa.py_buffer(joined)])
+    coded = parts.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(at, ends)
 
 
 class Tokens:
@@ -83,33 +105,51 @@ class Tokens:
 
     def _learn(self, units: set[str]) -> None:
         """Ids of words met for the first time; a mark after a letter or digit has its own."""
-        known = self.known
-        marked = [u for u in units if len(u) > 1 and u[-1] in ".,;:!?" and u[-2].isalnum()]
+        known, old = self.known, self.old
+        marked = [u for u in units if u[-1] in ".,;:!?" and u[-2:-1].isalnum()]
         wanted = units.difference(marked)
-        wanted.update(u[:-1] for u in marked)
-        wanted.update(u[-1] for u in marked)
-        known.update((u, self.old[u]) for u in wanted if u in self.old)
-        wanted = {u for u in wanted if u not in known}
+        wanted.update([u[:-1] for u in marked], {u[-1] for u in marked})
+        wanted = set(filterfalse(known.__contains__, wanted))
+        if old:
+            again = [u for u in wanted if u in old]
+            known.update((u, old[u]) for u in again)
+            wanted.difference_update(again)
         spaced = [u for u in wanted if u[0] in " \t\n\x0b\x0c\r" and not u.isspace()]
         known.update(zip(spaced, self._encode_words(spaced)))
-        other = list(wanted.difference(spaced))
-        known.update(zip(other, self._encode(other)))
+        if len(spaced) < len(wanted):
+            other = list(wanted.difference(spaced))
+            known.update(zip(other, self._encode(other)))
         for u in marked:
             known[u] = known[u[:-1]] + known[u[-1]]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """In order; texts of about a batch share one call of the library."""
-        units = [None if _UNSURE.search(t) or any(a in t for a in self.added) else _UNIT.findall(t) for t in texts]
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
-        missing = set().union(*(own for own in units if own)).difference(self.known)
+        known, old = self.known, self.old
+        whole = [bool(_UNSURE.search(t) or any(a in t for a in self.added)) for t in texts]
+        plain = [not w and _plain(t) for t, w in zip(texts, whole)]
+        own, which, ends = _cut([t for t, p in zip(texts, plain) if p])
+        units = [None if p or w else _UNIT.findall(t) for t, p, w in zip(texts, plain, whole)]
+        missing = set(filterfalse(known.__contains__, chain(own, *filter(None, units))))
         if missing:
-            again = {u for u in missing if u in self.old}
-            self.known.update((u, self.old[u]) for u in again)
+            again = [u for u in missing if u in old]
+            known.update((u, old[u]) for u in again)
             self._learn(missing.difference(again))
-        find = self.known.__getitem__
-        for text, own in zip(texts, units):
-            yield self._encode([text])[0] if own is None else b"".join(map(find, own))
+        find = known.__getitem__
+        ids = list(map(find, own))
+        sizes = np.array([len(x) for x in ids], np.int64) // 4
+        n = sizes[which]
+        until = np.append(0, np.cumsum(n))
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - until[:-1], n) + np.arange(until[-1])
+        tokens, begin, stops = np.frombuffer(b"".join(ids), "<u4")[at], 0, iter(until[ends].tolist())
+        for text, p, parts in zip(texts, plain, units):
+            if p:
+                end = next(stops)
+                yield tokens[begin:end].tobytes()
+                begin = end
+            else:
+                yield self._encode([text])[0] if parts is None else b"".join(map(find, parts))
         for u in missing:  # long ones would fill the memory
             if len(u) > 64:
                 self.known.pop(u, None)

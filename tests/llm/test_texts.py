@@ -78,6 +78,16 @@ def test_packing(odd, odd_rows):
         assert at <= 2048
 
 
+def test_cuts_before_white_space_keep_the_ids():
+    tokens, parts = packing.Tokens(TOKENS), ["a", "é's", ".", " ", "\n", "\t", "  ", "\n\n", "日本", "\0"]
+    rng = random.Random(5)
+    texts = ["", " ", "\n\n", "   x", "a\n "] + ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(3000)]
+    whole = tokens.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert list(tokens.ids(texts)) == [np.array(e.ids, "<u4").tobytes() for e in whole]
+    own, which, ends = packing._cut(["b a a", "", " a\nb"])
+    assert [own[i] for i in which] == ["b", " a", " a", " a", "\nb"] and len(own) == 3 and ends.tolist() == [3, 3, 5]
+
+
 def test_words_are_tokenised_as_in_their_text():
     rng = random.Random(2)
     parts = ["ab", "Xyz", " ", "  ", "\n", "\t", "'s", "'ll", "12", "é", ".", ",", "!!", "$$$", " ", " ", "\x1d", "日本"]
