@@ -18,6 +18,7 @@ from branchledger.functions.text import strip_suffixes, title_letters
 from branchledger.operators.lookup import drop_codes, lookup_join
 from branchledger.operators.periods import Calendar, Closing, assign_period
 from branchledger.operators.stack import stack, stack_tagged
+from branchledger.session import compiled
 from branchledger.sources.schemas import LEDGER_HEADERS
 
 QTY = ["qty_sold", "qty_returned"]
@@ -53,6 +54,7 @@ def with_employee_code(sales: DataFrame, staff: DataFrame, exclude: Sequence[str
 
 
 def _typed(sales: DataFrame) -> DataFrame:
+    compiled(sales.sparkSession)
     return sales.withColumns(
         {"posting_date": strict_date(F.col("posting_date"))}
         | {c: lenient_long(F.col(c)) for c in QTY}

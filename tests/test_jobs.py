@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from branchledger import values as v
 from branchledger.operators.periods import Closing
@@ -112,6 +113,22 @@ def test_single_office(spark):
     assert ledger.sorted_for_export(ledger.province_ledger(tagged, staff, calendar)).count() == 1
 
 
+def test_ledgers_run_compiled_in_any_session(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    for own, want in ((None, "8000"), ("20000", "20000")):
+        session = spark.newSession()
+        session.conf.unset(key)
+        if own:
+            session.conf.set(key, own)
+        sales = session.createDataFrame([], schemas.SALES.text_schema).withColumn("dept", F.lit("VP Vinh"))
+        staff = session.createDataFrame([], "employee_code string, employee_name string, dept string")
+        lines = ledger.head_office_ledger(sales, staff, HEAD_CALENDAR)
+        assert lines.filter("period is not null").count() == 0
+        assert session.conf.get(key) == want
+        ledger.province_ledger(sales, staff, OFFICE_CALENDAR)
+        assert session.conf.get(key) == want
+
+
 def visit(dept, code, customer, time):
     return {"dept": dept, "employee_code": code, "employee_name": f"n{code}", "customer_code": customer, "visit_time": time}
 
