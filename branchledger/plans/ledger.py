@@ -18,12 +18,16 @@ from branchledger.functions.text import strip_suffixes, title_letters
 from branchledger.operators.lookup import drop_codes, lookup_join
 from branchledger.operators.periods import Calendar, Closing, assign_period
 from branchledger.operators.stack import stack, stack_tagged
+from branchledger.operators.steps import stepped
 from branchledger.session import compiled
 from branchledger.sources.schemas import LEDGER_HEADERS
 
 QTY = ["qty_sold", "qty_returned"]
 MONEY = ["unit_price", "gross_sales", "discount", "return_value", "vat", "total_payment"]
 LEDGER_COLUMNS = list(LEDGER_HEADERS)
+#: Hash of a row without its employee code, and the name that the staff list knows.
+ROW_HASH, RAW_NAME = "__row_hash", "__raw_name"
+HASHED_COLUMNS = [c for c in LEDGER_COLUMNS if c != "employee_code"]
 
 
 def dept_by_name(name: Column, default: str = v.OTHER_DEPT) -> Column:
@@ -42,14 +46,22 @@ def customer_type(
     return first_match(code, [*listed, *rules], default)
 
 
-def with_employee_code(sales: DataFrame, staff: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Employee code by (salesperson, dept). The staff list may repeat a name."""
+def with_employee_code(
+    sales: DataFrame,
+    staff: DataFrame,
+    exclude: Sequence[str] = (),
+    name: str = "salesperson",
+    spread_by: Sequence[str] = ("voucher_no", "product_code"),
+    step: str | None = None,
+) -> DataFrame:
+    """Employee code by (``name``, dept). The staff list may repeat a name."""
     return lookup_join(
         sales,
         drop_codes(staff, "employee_code", exclude),
-        {"salesperson": "employee_name", "dept": "dept"},
+        {name: "employee_name", "dept": "dept"},
         ["employee_code"],
-        spread_by=["voucher_no", "product_code"],
+        spread_by=spread_by,
+        step=step,
     )
 
 
@@ -62,7 +74,7 @@ def _typed(sales: DataFrame) -> DataFrame:
     )
 
 
-def _finish(ledger: DataFrame, distributors: Sequence[str], salesperson: Column) -> DataFrame:
+def _derived(ledger: DataFrame, distributors: Sequence[str], salesperson: Column) -> DataFrame:
     return ledger.withColumns(
         {
             "customer_type": customer_type(F.col("customer_code"), distributors),
@@ -70,7 +82,11 @@ def _finish(ledger: DataFrame, distributors: Sequence[str], salesperson: Column)
             "net_qty": F.col("qty_sold") - F.col("qty_returned"),
             "salesperson": salesperson,
         }
-    ).select(*LEDGER_COLUMNS)
+    )
+
+
+def _finish(ledger: DataFrame, distributors: Sequence[str], salesperson: Column) -> DataFrame:
+    return _derived(ledger, distributors, salesperson).select(*LEDGER_COLUMNS)
 
 
 def head_office_ledger(
@@ -98,16 +114,42 @@ def province_ledger(
     calendar: Calendar,
     distributors: Sequence[str] = tuple(v.PROVINCE_DISTRIBUTORS),
     exclude_codes: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Department from the file (column ``dept``); no calendar rule -> null period.
 
-    All offices run as one job: ``calendar`` holds every office.
+    All offices run as one job: ``calendar`` holds every office. ``columns`` asks for a narrow ledger
+    (see ``_narrow_provinces``).
     """
+    if columns is not None:
+        return _narrow_provinces(sales, staff, calendar, distributors, exclude_codes, columns)
     coded = with_employee_code(_typed(sales), staff, exclude_codes)
     dated = assign_period(coded, calendar, fallback=None)
     return _finish(dated, distributors, title_letters(F.col("salesperson")))
 
 
+def _narrow_provinces(
+    sales: DataFrame,
+    staff: DataFrame,
+    calendar: Calendar,
+    distributors: Sequence[str],
+    exclude_codes: Sequence[str],
+    columns: Sequence[str],
+) -> DataFrame:
+    """The province ledger's ``columns``, its employee code and ``ROW_HASH``, from the same steps.
+
+    The lookup comes last: by then a hash stands for the columns not asked for, and a lookup too
+    large to be broadcast does not shuffle these.
+    """
+    lines = _typed(sales).withColumn(RAW_NAME, F.col("salesperson"))
+    dated = assign_period(lines, calendar, fallback=None)
+    rows = _derived(dated, distributors, title_letters(F.col("salesperson")))
+    asked = [c for c in dict.fromkeys([*columns, "dept"]) if c != "employee_code"]
+    narrow = rows.select(*asked, RAW_NAME, F.xxhash64(*HASHED_COLUMNS).alias(ROW_HASH))
+    coded = with_employee_code(narrow, staff, exclude_codes, RAW_NAME, [ROW_HASH], step="ledger-lines")
+    return coded.select(*dict.fromkeys([*columns, "employee_code"]), ROW_HASH)
+
+
 def one_office(
     sales: DataFrame, office: str, closings: Sequence[Closing]
 ) -> tuple[DataFrame, Calendar]:
@@ -132,10 +174,15 @@ def ledger_year(ledger: DataFrame, year: int) -> DataFrame:
 
 
 def sorted_for_export(ledger: DataFrame) -> DataFrame:
-    """Posting-date order, nulls last. The tie-break spreads a hot date over tasks."""
-    return ledger.orderBy(
-        F.asc_nulls_last("posting_date"), "voucher_no", F.xxhash64(*LEDGER_COLUMNS)
-    )
+    """Posting-date order, nulls last. The tie-break spreads a hot date over tasks.
+
+    ``ledger`` is whole, or narrow with both of these columns and ``ROW_HASH``. A sort reads its rows
+    twice, first for the bounds of its ranges, so they are written before.
+    """
+    if ROW_HASH not in ledger.columns:
+        ledger = ledger.withColumn(ROW_HASH, F.xxhash64(*HASHED_COLUMNS))
+    rows = stepped(ledger, "ledger-rows")
+    return rows.orderBy(F.asc_nulls_last("posting_date"), "voucher_no", ROW_HASH, "employee_code").drop(ROW_HASH)
 
 
 def net_by_period(ledger: DataFrame, by: Sequence[str] = ("dept", "period")) -> DataFrame:

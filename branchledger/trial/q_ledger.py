@@ -23,8 +23,8 @@ def head(sales: DataFrame, staff: DataFrame) -> DataFrame:
     return L.head_office_ledger(sales, staff_stack(staff), S.HEAD_CALENDAR, DISTRIBUTORS)
 
 
-def provinces(sales: DataFrame, staff: DataFrame) -> DataFrame:
-    return L.province_ledger(sales, staff_stack(staff), S.OFFICE_CALENDAR, DISTRIBUTORS)
+def provinces(sales: DataFrame, staff: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    return L.province_ledger(sales, staff_stack(staff), S.OFFICE_CALENDAR, DISTRIBUTORS, columns=columns)
 
 
 def month(sales: DataFrame, staff: DataFrame) -> DataFrame:
@@ -185,9 +185,11 @@ def _codes(df: DataFrame, label: str) -> DataFrame:
     return df.select(norm_code(F.col("product_code")).alias("product_code"), F.lit(label).alias("platform"))
 
 
+EXPORTED = ["posting_date", "voucher_no", "product_code", "dept"]
+
 query("sorted_nulls_last", f"""{S.province_ledger()} SELECT posting_date, voucher_no, product_code, dept FROM prov""",
       ("sales", "staff"))(
-    lambda s, st: L.sorted_for_export(provinces(s, st)).select("posting_date", "voucher_no", "product_code", "dept")
+    lambda s, st: L.sorted_for_export(provinces(s, st, EXPORTED)).select(EXPORTED)
 )
 
 query("lookup_duplicates", f""", {S.STACKED}

@@ -129,6 +129,40 @@ def test_ledgers_run_compiled_in_any_session(spark):
         assert session.conf.get(key) == want
 
 
+def test_a_narrow_export_has_the_rows_of_the_whole_one_and_sorts_few_columns(spark):
+    def line(**own):
+        given = {"posting_date": "05/01/2026", "total_payment": "3", "vat": "1", "salesperson": "văn-anh"} | own
+        return (*[given.get(c, "1") for c in schemas.SALES.columns], given.get("dept", "VP Vinh"))
+
+    lines = [line(posting_date=None), line(voucher_no=None), line(voucher_no="0", salesperson=None), line(product_code="2"), line(product_code="2"),
+             line(posting_date="04/01/2026", dept=None), line(salesperson="VĂN-ANH"), line(vat="2"), line(salesperson="Khác")]
+    sales = spark.createDataFrame(lines, f"{schemas.SALES.text_schema.simpleString()[7:-1]}, dept:string")
+    staff = spark.createDataFrame([("V2", "văn-anh", "VP Vinh"), ("V1", "văn-anh", "VP Vinh"), ("V3", "VĂN-ANH", "VP Vinh"), ("V4", None, None)],
+                                  "employee_code string, employee_name string, dept string")
+    columns = ["posting_date", "voucher_no", "product_code", "employee_code", "salesperson"]
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    for size in (before, "-1"):  # a lookup that is broadcast, one that is shuffled
+        spark.conf.set(threshold, size)
+        try:
+            whole = ledger.province_ledger(sales, staff, OFFICE_CALENDAR)
+            narrow = ledger.sorted_for_export(ledger.province_ledger(sales, staff, OFFICE_CALENDAR, columns=columns))
+            got = [tuple(r) for r in narrow.select(columns).collect()]
+            assert narrow.columns == columns
+            assert sorted(got, key=repr) == sorted((tuple(r) for r in whole.select(columns).collect()), key=repr)
+            assert [r[:2] for r in got] == sorted((r[:2] for r in got), key=lambda r: (r[0] is None, r[0] or dt.date.min, r[1] is not None, r[1] or ""))
+            assert {r[3:] for r in got} == {("V1", "Văn-Anh"), ("V3", "Văn-Anh"), (None, "Văn-Anh"), (None, "Khác"), (None, None)}
+            export = ledger.sorted_for_export(whole)
+            assert export.columns == ledger.LEDGER_COLUMNS and [tuple(r) for r in export.select(columns).collect()] == got
+            # What the sort deals out for a few of the columns is these and its tie-break.
+            for df in (narrow, export):
+                plan = df.select(columns[:3])._jdf.queryExecution().executedPlan().toString()
+                read = next(x for x in plan.splitlines() if "FileScan" in x)
+                assert "Join" not in plan and "product_name" not in read and "net_revenue" not in read
+        finally:
+            spark.conf.set(threshold, before)
+
+
 def visit(dept, code, customer, time):
     return {"dept": dept, "employee_code": code, "employee_name": f"n{code}", "customer_code": customer, "visit_time": time}
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from branchledger.operators.margins import counts_by_case_with_total, counts_wit
 from branchledger.operators.scoring import cut_rows, quintile_scores
 from branchledger.operators.skew import heavy_keys, hot_keys, rows_per_key, salted_left_joins, skewed_lookup_join, spread_nulls
 from branchledger.operators.stack import aligned_sums, stack, stack_tagged
+from branchledger.operators.steps import stepped
 
 
 def test_lookup_join_never_adds_rows(frame, rows):
@@ -259,3 +262,23 @@ def test_checks(frame):
     assert (totals.n_rows, totals.n_columns, float(totals.gross_revenue)) == (2, 6, 16.0)
     assert checks.control_totals(ledger.limit(0)).first().n_rows == 0
     assert checks.unresolved_staff(ledger).first().salesperson == "b"
+
+
+def test_a_step_gives_its_shuffle_files_back(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(key, None)
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for top in folders for f in glob.glob(f"{top}/*/shuffle_*")}
+
+    before = shuffled()
+    df = spark.range(1000).withColumn("k", F.col("id") % 7).repartition(3, "k")
+    read = stepped(df, "step")
+    until = time.time() + 20  # the files go in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert read.dtypes == df.dtypes and sorted(map(tuple, read.collect())) == [(i, i % 7) for i in range(1000)]
+    assert spark.conf.get(key, None) == own
+    assert stepped(df.limit(0), "step").collect() == []
