@@ -25,19 +25,18 @@ def lookup_join(
     on: Mapping[str, str],
     take: Sequence[str],
     spread_by: Sequence[str] = (),
-    step: str | None = None,
 ) -> DataFrame:
     """Left join of ``fact`` to a de-duplicated lookup; ``on`` maps fact -> lookup column.
 
     The optimizer broadcasts the lookup while it is under the session's size threshold.
     Past it the join is a shuffle; ``spread_by`` names fact columns that cut a hot key, if a sketch
     of the fact's keys shows one, into parts. It stays empty for a fact that was already grouped by
-    the key. ``step`` names a table that the fact is written to before that (``skewed_lookup_join``).
+    the key.
     """
     right = unique_lookup(lookup, list(on.values()), take)
     right = right.select(*[F.col(r).alias(l) for l, r in on.items()], *take)
     if spread_by:
-        return skewed_lookup_join(fact, right, list(on), spread_by, step=step)
+        return skewed_lookup_join(fact, right, list(on), spread_by)
     return fact.join(right, list(on), "left")
 
 

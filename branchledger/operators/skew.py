@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from branchledger.functions.local import config_table
-from branchledger.operators.steps import stepped
 
 #: Rows of one key that a task may get; all of these only shape the plan, never the result.
 HOT_ROWS = 2_000_000
@@ -54,18 +53,14 @@ def skewed_lookup_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    step: str | None = None,
 ) -> DataFrame:
     """Left join to a lookup: as it is where it is small, else with hot keys cut into parts.
 
     A lookup that may be broadcast is neither copied nor shuffled. For a larger one a sketch of
     the left keys, one scan of these columns, finds the hot ones; only their lookup rows are copied.
-    Sketch and join both read the left side; ``step`` names a table it is written to ahead of them.
     """
     if fits_broadcast(right):
         return left.join(right, list(keys), "left")
-    if step:
-        left = stepped(left, step)
     return salted_left_joins(left, [right], keys, spread_by, heavy_keys(left, keys, hot_rows))
 
 

@@ -18,7 +18,7 @@ from branchledger.functions.text import strip_suffixes, title_letters
 from branchledger.operators.lookup import drop_codes, lookup_join
 from branchledger.operators.periods import Calendar, Closing, assign_period
 from branchledger.operators.stack import stack, stack_tagged
-from branchledger.operators.steps import stepped
+from branchledger.operators.steps import passing_step, stepped
 from branchledger.session import compiled
 from branchledger.sources.schemas import LEDGER_HEADERS
 
@@ -27,6 +27,8 @@ MONEY = ["unit_price", "gross_sales", "discount", "return_value", "vat", "total_
 LEDGER_COLUMNS = list(LEDGER_HEADERS)
 #: Hash of a row without its employee code, and the name that the staff list knows.
 ROW_HASH, RAW_NAME = "__row_hash", "__raw_name"
+#: Parts of a narrow ledger that pass the lookup one after the other.
+SLICES = 2
 HASHED_COLUMNS = [c for c in LEDGER_COLUMNS if c != "employee_code"]
 
 
@@ -52,7 +54,6 @@ def with_employee_code(
     exclude: Sequence[str] = (),
     name: str = "salesperson",
     spread_by: Sequence[str] = ("voucher_no", "product_code"),
-    step: str | None = None,
 ) -> DataFrame:
     """Employee code by (``name``, dept). The staff list may repeat a name."""
     return lookup_join(
@@ -61,7 +62,6 @@ def with_employee_code(
         {name: "employee_name", "dept": "dept"},
         ["employee_code"],
         spread_by=spread_by,
-        step=step,
     )
 
 
@@ -139,15 +139,25 @@ def _narrow_provinces(
     """The province ledger's ``columns``, its employee code and ``ROW_HASH``, from the same steps.
 
     The lookup comes last: by then a hash stands for the columns not asked for, and a lookup too
-    large to be broadcast does not shuffle these.
+    large to be broadcast does not shuffle these. Its rows are read twice, by the sketch and the join,
+    so they are written before; they pass in slices, which take a part of the disk each.
     """
     lines = _typed(sales).withColumn(RAW_NAME, F.col("salesperson"))
     dated = assign_period(lines, calendar, fallback=None)
     rows = _derived(dated, distributors, title_letters(F.col("salesperson")))
     asked = [c for c in dict.fromkeys([*columns, "dept"]) if c != "employee_code"]
     narrow = rows.select(*asked, RAW_NAME, F.xxhash64(*HASHED_COLUMNS).alias(ROW_HASH))
-    coded = with_employee_code(narrow, staff, exclude_codes, RAW_NAME, [ROW_HASH], step="ledger-lines")
-    return coded.select(*dict.fromkeys([*columns, "employee_code"]), ROW_HASH)
+    number = F.pmod(F.xxhash64(F.lit("slice"), ROW_HASH), F.lit(SLICES))
+    with passing_step(narrow, "ledger-lines") as written:
+        slices = [
+            stepped(
+                with_employee_code(written.filter(number == i), staff, exclude_codes, RAW_NAME, [ROW_HASH])
+                .select(*dict.fromkeys([*columns, "employee_code"]), ROW_HASH),
+                "ledger-rows",
+            )
+            for i in range(SLICES)
+        ]
+    return stack(slices)
 
 
 def one_office(
@@ -176,13 +186,12 @@ def ledger_year(ledger: DataFrame, year: int) -> DataFrame:
 def sorted_for_export(ledger: DataFrame) -> DataFrame:
     """Posting-date order, nulls last. The tie-break spreads a hot date over tasks.
 
-    ``ledger`` is whole, or narrow with both of these columns and ``ROW_HASH``. A sort reads its rows
-    twice, first for the bounds of its ranges, so they are written before.
+    A sort reads its rows twice, first for the bounds of its ranges. ``ledger`` is whole, and then
+    written before, or narrow with both of these columns, and then a table already.
     """
     if ROW_HASH not in ledger.columns:
-        ledger = ledger.withColumn(ROW_HASH, F.xxhash64(*HASHED_COLUMNS))
-    rows = stepped(ledger, "ledger-rows")
-    return rows.orderBy(F.asc_nulls_last("posting_date"), "voucher_no", ROW_HASH, "employee_code").drop(ROW_HASH)
+        ledger = stepped(ledger.withColumn(ROW_HASH, F.xxhash64(*HASHED_COLUMNS)), "ledger-rows")
+    return ledger.orderBy(F.asc_nulls_last("posting_date"), "voucher_no", ROW_HASH, "employee_code").drop(ROW_HASH)
 
 
 def net_by_period(ledger: DataFrame, by: Sequence[str] = ("dept", "period")) -> DataFrame:

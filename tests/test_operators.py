@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 import random
 import time
 
@@ -16,7 +17,7 @@ from branchledger.operators.margins import counts_by_case_with_total, counts_wit
 from branchledger.operators.scoring import cut_rows, quintile_scores
 from branchledger.operators.skew import heavy_keys, hot_keys, rows_per_key, salted_left_joins, skewed_lookup_join, spread_nulls
 from branchledger.operators.stack import aligned_sums, stack, stack_tagged
-from branchledger.operators.steps import stepped
+from branchledger.operators.steps import passing_step, stepped
 
 
 def test_lookup_join_never_adds_rows(frame, rows):
@@ -282,3 +283,8 @@ def test_a_step_gives_its_shuffle_files_back(spark):
     assert read.dtypes == df.dtypes and sorted(map(tuple, read.collect())) == [(i, i % 7) for i in range(1000)]
     assert spark.conf.get(key, None) == own
     assert stepped(df.limit(0), "step").collect() == []
+    with passing_step(df, "passing") as there:
+        kept = stepped(there.filter("k = 1"), "kept")
+        folder = there.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        assert os.path.isdir(folder) and there.count() == 1000
+    assert not os.path.exists(folder) and kept.count() == 143
